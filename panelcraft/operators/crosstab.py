@@ -138,11 +138,11 @@ def segment_sizes(responses: DataFrame, segment: str = "cluster", weight: str |
     if weight:
         sums.append(F.sum(F.col(weight).cast("double")).alias("weighted_n"))
     sizes = responses.groupBy(F.col(segment).cast("string").alias("cluster")).agg(*sums)
-    total = sizes.agg(F.sum("n").alias("total"))
-    shares = {"share": F.col("n") / F.col("total")}
+    total = F.sum("n").over(Window.partitionBy())  # over one row per segment
+    shares = {"share": F.col("n") / total}
     if weight:
-        shares["weighted_share"] = F.col("weighted_n") / F.col("total")
-    return sizes.join(F.broadcast(total)).withColumns(shares).drop("total")
+        shares["weighted_share"] = F.col("weighted_n") / total
+    return sizes.withColumns(shares)
 
 
 def segment_summary(counts: DataFrame) -> DataFrame:

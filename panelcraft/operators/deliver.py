@@ -70,7 +70,7 @@ def infer(responses: DataFrame, roles: ColumnRoles, segment: str = "cluster",
           confidence: float = ct.CONFIDENCE, correction: str | None = "bonferroni") -> Inference:
     """Test every question against the segments.
 
-    The counts and the tested table are kept: they are small next to the respondents, and all later tables read
+    The counts, the tested table and the deliver table are kept: they are small next to the respondents, and all later tables read
     them. A lost executor only makes Spark count again.
     """
     counts = ct.answer_counts(responses, roles, segment).persist()
@@ -78,6 +78,6 @@ def infer(responses: DataFrame, roles: ColumnRoles, segment: str = "cluster",
     tests = ct.chi2_tests(table)
     cells = ct.post_hoc(table, tests, confidence, correction)
     summary = ct.segment_summary(counts)
-    deliver = deliver_table(cells, summary, weighted=roles.weight is not None)
+    deliver = deliver_table(cells, summary, weighted=roles.weight is not None).persist()
     return Inference(counts, table, tests, cells, summary, deliver, discover_table(deliver),
                      ct.modes(counts, include_not_shown=True))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.sampling import unit_hash
@@ -38,9 +38,9 @@ def communicability(deliver: DataFrame) -> DataFrame:
     per = (deliver.filter(F.col("q_code").rlike(MESSAGE_MARKS))
            .groupBy(F.col("targeting_seg").alias("cluster"))
            .agg(F.count_distinct("q_code").cast("double").alias("communicability")))
-    everyone = deliver.agg(F.count_distinct("targeting_seg").alias("n"))
-    average = (per.agg(F.coalesce(F.sum("communicability"), F.lit(0.0)).alias("s")).join(F.broadcast(everyone))
-               .select(F.lit("average").alias("cluster"), F.try_divide("s", "n").alias("communicability")))
+    found = F.count_distinct(F.when(F.col("q_code").rlike(MESSAGE_MARKS), F.struct("targeting_seg", "q_code")))
+    average = deliver.agg(F.try_divide(found, F.count_distinct("targeting_seg")).alias("communicability")).select(
+        F.lit("average").alias("cluster"), "communicability")
     return per.unionByName(average)
 
 
@@ -193,8 +193,7 @@ def signal_fields(size: str, inside: str, segment: str, total: str) -> dict:
 
 def chi2_signal(sizes: DataFrame, slices: DataFrame | None = None) -> DataFrame:
     """Signal per segment; without slices every row counts as selected."""
-    total = F.broadcast(sizes.agg(F.sum("n").alias("total")))
-    base = sizes.select("cluster", "n").join(total)
+    base = sizes.select("cluster", "n", F.sum("n").over(Window.partitionBy()).alias("total"))
     if slices is None:
         base = base.withColumns({"n_slice": F.col("total"), "n_slice_in": F.col("n")})
     else:
@@ -278,14 +277,13 @@ def magnitude(deliver: DataFrame, sizes: DataFrame, n_targets: int) -> DataFrame
         return None
     found = (deliver.filter(F.lower("q_code").contains("tgt")).groupBy(F.col("targeting_seg").alias("cluster"))
              .agg(F.count(F.lit(1)).alias("n_sig")))
-    total = F.broadcast(sizes.agg(F.sum("n").alias("total")))
-    per = (sizes.select("cluster", "n").join(total).join(found, "cluster", "left")
-           .select("cluster", F.round(F.round(F.col("n") / F.col("total"), 2)
-                                      * F.coalesce("n_sig", F.lit(0)) / n_targets, 3).alias("magnitude")))
+    share = F.round(F.col("n") / F.sum("n").over(Window.partitionBy()), 2)
+    per = (sizes.select("cluster", share.alias("share")).join(found, "cluster", "left")
+           .select("cluster", F.round(F.col("share") * F.coalesce("n_sig", F.lit(0)) / n_targets, 3).alias("magnitude")))
     whole = per.agg(F.round(F.sum("magnitude"), 3).alias("magnitude"))
-    valid = F.broadcast(whole.filter("magnitude > 0 AND magnitude <= 1").select(F.lit(1).alias("ok")))
-    return (per.unionByName(whole.select(F.lit("all_clusters").alias("cluster"), "magnitude"))
-            .join(valid).drop("ok"))
+    both = per.unionByName(whole.select(F.lit("all_clusters").alias("cluster"), "magnitude"))
+    total = F.max(F.when(F.col("cluster") == "all_clusters", F.col("magnitude"))).over(Window.partitionBy())
+    return both.withColumn("total", total).filter("total > 0 AND total <= 1").drop("total")
 
 
 # --- signal of a learned model ------------------------------------------------------------------------

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import queries_inference  # noqa: F401
+from . import queries_inference, queries_metrics  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 
