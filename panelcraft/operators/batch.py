@@ -42,28 +42,20 @@ def partial_sums(df: DataFrame, names: list[str], fn: Callable[[np.ndarray], dic
             .groupBy(*keys).agg(F.sum(value).alias(value)))
 
 
-def stacked(*parts: tuple[int, np.ndarray]) -> dict[str, np.ndarray]:
-    """Arrays of any shape as long rows: kind, up to three positions, value."""
-    cols: dict[str, list[np.ndarray]] = {c: [] for c in ("kind", "a", "b", "c", "value")}
-    for kind, array in parts:
-        shape = (1,) * (3 - array.ndim) + array.shape
-        index = np.indices(shape).reshape(3, -1)
-        flat = array.reshape(-1)
-        used = flat != 0
-        cols["kind"].append(np.full(int(used.sum()), kind))
-        for name, pos in zip("abc", index):
-            cols[name].append(pos[used])
-        cols["value"].append(flat[used])
-    return {c: np.concatenate(v) for c, v in cols.items()}
-
-
-STACK_KEYS = ["kind", "a", "b", "c"]
+def add_columns(df: DataFrame, inputs: list[str], outputs: dict[str, str],
+                fn: Callable[[np.ndarray], list[np.ndarray]]) -> DataFrame:
+    """``df`` with the columns that ``fn`` makes from a matrix of the input columns; equal names are replaced."""
+    names = [f"__x{i}" for i in range(len(inputs))]
+    kept = [f for f in df.schema.fields if f.name not in outputs]
+    wide = df.select(*[F.col(f"`{f.name}`") for f in kept], *[F.col(c).cast("double").alias(n) for c, n in zip(inputs, names)])
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + [f"`{n}` {t}" for n, t in outputs.items()])
+    kinds = {"int": np.int32, "long": np.int64, "double": np.float64}
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = fn(matrix(batch, names))
+            arrays = [batch.column(i) for i in range(len(kept))]
+            arrays += [pa.array(np.asarray(v).astype(kinds[t])) for v, t in zip(made, outputs.values())]
+            yield pa.RecordBatch.from_arrays(arrays, names=[*[f.name for f in kept], *outputs])
 
-def unstack(rows: list, kind: int, shape: tuple[int, ...]) -> np.ndarray:
-    """The array of one kind from collected rows of ``stacked`` sums."""
-    out = np.zeros((1,) * (3 - len(shape)) + shape)
-    for r in rows:
-        if r["kind"] == kind:
-            out[r["a"], r["b"], r["c"]] = r["value"]
-    return out.reshape(shape)
+    return wide.mapInArrow(run, schema)
