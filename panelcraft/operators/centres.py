@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.sampling import unit_hash
-from .batch import add_columns, matrix
+from .batch import add_columns, packed, unpacked
 from .reduce import Axes
 
 POOL_ROWS = 1000
@@ -75,10 +75,9 @@ def patterns(df: DataFrame, codes: list[str]) -> DataFrame:
 
 def start_pool(df: DataFrame, layout: Layout, id_col: str, rows: int = POOL_ROWS) -> np.ndarray:
     """Rows from which starts are drawn, chosen by key hash; every fit still runs on all rows."""
-    picked = (df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(layout.names)],
-                        unit_hash(id_col, 7).alias("h"), F.col(id_col).alias("i"))
+    picked = (df.select(packed(layout.names), unit_hash(id_col, 7).alias("h"), F.col(id_col).alias("i"))
               .orderBy("h", "i").limit(rows).drop("h", "i").collect())
-    return np.array([list(r) for r in picked], dtype=float).reshape(len(picked), len(layout.names))
+    return np.array([r[0] for r in picked], dtype=float).reshape(len(picked), len(layout.names))
 
 
 def spread_starts(pool: np.ndarray, layout: Layout, k: int, seed: int, gamma: float = 1.0) -> Centres:
@@ -125,13 +124,11 @@ def dense_starts(weighted: DataFrame, layout: Layout, k: int, gamma: float = 1.0
 
 
 def _sums(layout: Layout, runs: dict[int, Centres], weighted: bool):
-    names = [f"x{i}" for i in range(len(layout.names))] + (["copies"] if weighted else [])
-
     def step(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            values = matrix(batch, names)
+            values = unpacked(batch)
             w = values[:, -1] if weighted else np.ones(len(values))
             x, codes = layout.split(values)
             cols = {c: [] for c in ("run", "cluster", "kind", "pos", "code", "value")}
@@ -177,8 +174,7 @@ def fit(rows: DataFrame, layout: Layout, starts: dict[int, Centres], max_iterati
     code, rows between equally near centres go to the first, an emptied cluster keeps its centre.
     """
     weighted = "copies" in rows.columns
-    plain = rows.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(layout.names)],
-                        *(["copies"] if weighted else [])).persist()
+    plain = rows.select(packed([*layout.names, *(["copies"] if weighted else [])])).persist()
     done: dict[int, Centres] = {}
     live = dict(starts)
     for iteration in range(1, max_iterations + 1):

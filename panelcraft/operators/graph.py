@@ -17,8 +17,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-
-from .batch import add_columns, matrix
+from .batch import unpacked
 
 MAX_PIVOTS = 512
 BLOCK_ROWS = 4096
@@ -51,8 +50,8 @@ class Space:
 
 
 def _prepare(df: DataFrame, id_col: str, numeric: list[str], codes: list[str], metric: str,
-             by: str | None) -> tuple[DataFrame, list[str]]:
-    """Features as x0, x1, ..: ranged for Gower, of unit length for cosine."""
+             by: str | None) -> DataFrame:
+    """(id, grp, x): features as one array, ranged for Gower, of unit length for cosine."""
     if metric not in ("gower", "euclidean", "cosine"):
         raise ValueError("metric is 'gower', 'euclidean' or 'cosine'")
     exprs = [F.col(c).cast("double") for c in numeric]
@@ -60,16 +59,20 @@ def _prepare(df: DataFrame, id_col: str, numeric: list[str], codes: list[str], m
         row = df.agg(*[f(F.col(c).cast("double")).alias(f"{t}{i}") for i, c in enumerate(numeric)
                        for t, f in (("a", F.min), ("b", F.max))]).first()
         exprs = [(e - row[f"a{i}"]) / ((row[f"b{i}"] - row[f"a{i}"]) or 1.0) for i, e in enumerate(exprs)]
-    elif metric == "cosine":
-        length = F.greatest(F.sqrt(sum((e * e for e in exprs[1:]), exprs[0] * exprs[0])), F.lit(1e-12))
-        exprs = [e / length for e in exprs]
     elif metric == "euclidean":
         exprs += [F.col(c).cast("double") for c in codes]
         codes = []
     exprs += [F.col(c).cast("double") for c in codes]
-    names = [f"x{i}" for i in range(len(exprs))]
     group = F.col(by).cast("string") if by else F.lit("")
-    return df.select(F.col(id_col).alias("id"), group.alias("grp"), *[e.alias(n) for e, n in zip(exprs, names)]), names
+    rows = df.select(F.col(id_col).alias("id"), group.alias("grp"), F.array(*exprs).alias("x"))
+    if metric == "cosine":
+        length = F.greatest(F.sqrt(F.aggregate("x", F.lit(0.0), lambda s, v: s + v * v)), F.lit(1e-12))
+        rows = rows.withColumn("n", length).withColumn("x", F.transform("x", lambda v: v / F.col("n"))).drop("n")
+    return rows
+
+
+def _stack(pdf: pd.DataFrame) -> np.ndarray:
+    return np.stack(pdf["x"].to_numpy()).astype(float)
 
 
 def nearest(df: DataFrame, k: int, id_col: str = "id", numeric: list[str] | None = None, codes: list[str] | None = None,
@@ -79,24 +82,31 @@ def nearest(df: DataFrame, k: int, id_col: str = "id", numeric: list[str] | None
     ``by`` restricts neighbours to the row's own group; ``across`` asks for k in every group instead.
     """
     numeric, codes = list(numeric or []), list(codes or [])
-    rows, names = _prepare(df, id_col, numeric, codes, metric, by)
-    space = Space(metric, len(names) - (len(codes) if metric == "gower" else 0), len(codes) if metric == "gower" else 0)
-    keys = ["grp", *names]
+    rows = _prepare(df, id_col, numeric, codes, metric, by)
+    n_codes = len(codes) if metric == "gower" else 0
+    space = Space(metric, len(numeric) + len(codes) - n_codes, n_codes)
+    keys = ["grp", "x"]
     merged = rows.groupBy(*keys).agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"))
+    merged = merged.persist()
     n_patterns = merged.count()
     if n_patterns == 0:
         raise ValueError("no rows")
     n_pivots = min(MAX_PIVOTS, max(1, math.isqrt(n_patterns)))
-    picked = merged.select(F.xxhash64("rep").alias("h"), "rep", *names).orderBy("h", "rep").limit(n_pivots).collect()
-    pivots = np.array([[r[n] for n in names] for r in picked], dtype=float)
+    picked = merged.select(F.xxhash64("rep").alias("h"), "rep", "x").orderBy("h", "rep").limit(n_pivots).collect()
+    pivots = np.array([r["x"] for r in picked], dtype=float)
 
-    def to_cell(x: np.ndarray) -> list[np.ndarray]:
-        d = space.between(x, pivots)
-        cell = d.argmin(1)
-        return [cell, d[np.arange(len(x)), cell]]
+    def to_cell(batches):
+        for batch in batches:
+            d = space.between(unpacked(batch, "x"), pivots)
+            cell = d.argmin(1)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(cell.astype(np.int32)), pa.array(d[np.arange(len(d)), cell])],
+                names=[*batch.schema.names, "cell", "away"])
 
-    placed = add_columns(merged, names, {"cell": "int", "away": "double"}, to_cell).persist()
-    links = _pattern_links(placed, names, pivots, space, k, across)
+    kind = merged.schema["rep"].dataType.simpleString()
+    placed = merged.mapInArrow(
+        to_cell, f"grp string, x array<double>, rep {kind}, copies long, cell int, away double").persist()
+    links = _pattern_links(placed, pivots, space, k, across)
 
     # From patterns back to ids. Only the k + 1 smallest ids of a pattern can be neighbours.
     owner = rows.join(merged.select(*keys, "rep"), keys).select("id", "grp", "rep")
@@ -114,7 +124,7 @@ def nearest(df: DataFrame, k: int, id_col: str = "id", numeric: list[str] | None
     return found if by else found.drop("src_group", "dst_group")
 
 
-def _pattern_links(placed: DataFrame, names: list[str], pivots: np.ndarray, space: Space, k: int, across: bool) -> DataFrame:
+def _pattern_links(placed: DataFrame, pivots: np.ndarray, space: Space, k: int, across: bool) -> DataFrame:
     """(rep, target, other, d): for each pattern and target group its k + 1 nearest patterns, itself included."""
     need = k + 1
     order = Window.partitionBy("grp", "cell").orderBy("away", "rep")
@@ -141,7 +151,8 @@ def _pattern_links(placed: DataFrame, names: list[str], pivots: np.ndarray, spac
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x = matrix(batch, names)
+            x = unpacked(batch, "x")
+            column = batch.column(batch.schema.get_field_index("x"))
             d = space.between(x, pivots)
             own = np.array([at[g] for g in batch.column(batch.schema.get_field_index("grp")).to_pylist()])
             rep = batch.column(batch.schema.get_field_index("rep"))
@@ -153,13 +164,12 @@ def _pattern_links(placed: DataFrame, names: list[str], pivots: np.ndarray, spac
                 if len(who):
                     yield pa.RecordBatch.from_arrays(
                         [rep.take(pa.array(who)), pa.array(np.full(len(who), target, dtype=np.int32)),
-                         pa.array(cell.astype(np.int32)), pa.array(bound[who])]
-                        + [pa.array(x[who, j]) for j in range(len(names))],
-                        names=["rep", "target", "cell", "bound", *names])
+                         pa.array(cell.astype(np.int32)), pa.array(bound[who]), column.take(pa.array(who))],
+                        names=["rep", "target", "cell", "bound", "x"])
 
     kind = placed.schema["rep"].dataType.simpleString()
-    columns = ", ".join(f"{n} double" for n in names)
-    asks = placed.select("rep", "grp", *names).mapInArrow(ask, f"rep {kind}, target int, cell int, bound double, {columns}")
+    asks = placed.select("rep", "grp", "x").mapInArrow(
+        ask, f"rep {kind}, target int, cell int, bound double, x array<double>")
     asked = {(r["target"], r["cell"]): r["count"] for r in asks.groupBy("target", "cell").count().collect()}
     chunks = np.ones((len(groups), len(pivots)), dtype=np.int64)
     for (t, c), n in asked.items():
@@ -174,7 +184,7 @@ def _pattern_links(placed: DataFrame, names: list[str], pivots: np.ndarray, spac
     chunk_of = F.pmod(F.xxhash64("rep", F.lit(5)), lookup(chunks, F.col("target"), F.col("cell"))).cast("int")
     left = (asks.withColumns({"chunk": chunk_of, "block": F.explode(F.sequence(
         F.lit(0), lookup(blocks, F.col("target"), F.col("cell")).cast("int") - 1))}))
-    right = (placed.select("rep", group_at.alias("target"), "cell", *names)
+    right = (placed.select("rep", group_at.alias("target"), "cell", "x")
              .withColumns({"block": block_of, "chunk": F.explode(F.sequence(
                  F.lit(0), lookup(chunks, F.col("target"), F.col("cell")).cast("int") - 1))}))
 
@@ -182,10 +192,10 @@ def _pattern_links(placed: DataFrame, names: list[str], pivots: np.ndarray, spac
         out = {"rep": [], "target": [], "other": [], "d": []}
         if len(a) and len(b):
             b = b.sort_values("rep")
-            y, other = b[names].to_numpy(float), b["rep"].to_numpy()
+            y, other = _stack(b), b["rep"].to_numpy()
             for s in range(0, len(a), 512):
                 part = a.iloc[s:s + 512]
-                d = np.round(space.between(part[names].to_numpy(float), y), DIGITS)
+                d = np.round(space.between(_stack(part), y), DIGITS)
                 keep = min(need, d.shape[1])
                 best = np.argsort(d, axis=1, kind="stable")[:, :keep]  # stable: ties to the smaller id
                 near = np.take_along_axis(d, best, 1)

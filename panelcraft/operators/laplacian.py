@@ -18,26 +18,27 @@ def laplacian_scores(df: DataFrame, graph: DataFrame, features: list[str], id_co
     Equal rows are one node pattern to the score, so edges are first summed by pattern; what is then joined with
     the feature columns is at most as large as the number of different pattern pairs.
     """
-    names = [f"f{i}" for i in range(len(features))]
-    values = df.select(F.col(id_col).alias("id"), *[F.col(c).cast("double").alias(n) for c, n in zip(features, names)])
-    pattern = values.groupBy(*names).agg(F.min("id").alias("p"))
-    owner = values.join(pattern, names).select("id", "p")
+    values = df.select(F.col(id_col).alias("id"), F.array(*[F.col(c).cast("double") for c in features]).alias("x"))
+    pattern = values.groupBy("x").agg(F.min("id").alias("p"))
+    owner = values.join(pattern, "x").select("id", "p")
     links = (graph.join(owner.select(F.col("id").alias("src"), F.col("p").alias("a")), "src")
              .join(owner.select(F.col("id").alias("dst"), F.col("p").alias("b")), "dst")
              .groupBy("a", "b").agg(F.sum("w").alias("w")).persist())
-    left = pattern.select(F.col("p").alias("a"), *[F.col(n).alias("l" + n) for n in names])
-    right = pattern.select(F.col("p").alias("b"), *[F.col(n).alias("r" + n) for n in names])
+    left = pattern.select(F.col("p").alias("a"), F.col("x").alias("xa"))
+    right = pattern.select(F.col("p").alias("b"), F.col("x").alias("xb"))
+    at = range(len(features))
     rough = (links.filter("a <> b").join(left, "a").join(right, "b")
-             .agg(*[(F.sum(F.col("w") * F.pow(F.col("l" + n) - F.col("r" + n), 2)) / 2).alias(n) for n in names]).first())
+             .agg(*[(F.sum(F.col("w") * F.pow(F.col("xa")[i] - F.col("xb")[i], 2)) / 2).alias(f"r{i}") for i in at]).first())
     degree = links.groupBy(F.col("a").alias("p")).agg(F.sum("w").alias("d"))
+    d, x = F.col("d"), F.col("x")
     node = (degree.join(pattern, "p").agg(
-        F.sum("d").alias("d"), *[F.sum(F.col("d") * F.col(n)).alias("s" + n) for n in names],
-        *[F.sum(F.col("d") * F.col(n) * F.col(n)).alias("q" + n) for n in names]).first())
+        F.sum(d).alias("d"), *[F.sum(d * x[i]).alias(f"s{i}") for i in at],
+        *[F.sum(d * x[i] * x[i]).alias(f"q{i}") for i in at]).first())
     links.unpersist()
     rows = []
-    for feature, n in zip(features, names):
-        spread = node["q" + n] - node["s" + n] ** 2 / node["d"]
-        rows.append((feature, float((rough[n] or 0.0) / spread) if spread > 1e-12 else None))
+    for i, feature in enumerate(features):
+        spread = node[f"q{i}"] - node[f"s{i}"] ** 2 / node["d"]
+        rows.append((feature, float((rough[f"r{i}"] or 0.0) / spread) if spread > 1e-12 else None))
     return df.sparkSession.createDataFrame(rows, "feature string, score double")
 
 

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .batch import add_columns, matrix
+from .batch import add_columns, packed, unpacked
 
 # Class counts tried and restarts of each.
 CODED_K = range(3, 9)
@@ -86,7 +86,7 @@ def em_step(rows: DataFrame, codes: list[str], numeric: list[str], runs: dict[in
         for batch in batches:
             if not batch.num_rows:
                 continue
-            values = matrix(batch, names)
+            values = unpacked(batch)
             w = values[:, -1] if weighted else np.ones(len(values))
             c, x = values[:, :q_n].astype(np.int64), values[:, q_n:q_n + p]
             cols = {name: [] for name in ("run", "cls", "kind", "pos", "code", "value")}
@@ -116,7 +116,7 @@ def em_step(rows: DataFrame, codes: list[str], numeric: list[str], runs: dict[in
                 [pa.array(np.concatenate(cols[n]).astype(np.int64)) for n in ("run", "cls", "kind", "pos", "code")]
                 + [pa.array(np.concatenate(cols["value"]))], names=["run", "cls", "kind", "pos", "code", "value"])
 
-    got = (rows.select(*[F.col(n).cast("double").alias(n) for n in names])
+    got = (rows.select(packed(names))
            .mapInArrow(expect, "run long, cls long, kind long, pos long, code long, value double")
            .groupBy("run", "cls", "kind", "pos", "code").agg(F.sum("value").alias("value")).collect())
     own: dict[int, list] = {run: [] for run in runs}

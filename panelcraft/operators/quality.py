@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.ranks import average_rank
 from ..functions.sampling import random_label
-from .batch import matrix, partial_sums
+from .batch import packed, partial_sums, unpacked
 
 # Fixed values.
 SHARE_LOW, SHARE_HIGH = 0.02, 0.55
@@ -64,8 +64,7 @@ def cluster_moments(df: DataFrame, features: list[str], labels: list[str]) -> Mo
         return {"run": np.repeat(run_of, width), "cluster": np.repeat(cluster_of, width),
                 "pos": np.tile(np.arange(width), len(whole)), "value": whole.reshape(-1)}
 
-    rows = partial_sums(_coded(df, features, labels, out.label), _names(features, labels), sums,
-                        ["run", "cluster", "pos"]).collect()
+    rows = partial_sums(df, _coded(features, labels, out.label), sums, ["run", "cluster", "pos"]).collect()
     for run, k in enumerate(sizes):
         got = np.zeros((k, p + 2))
         for r in rows:
@@ -78,16 +77,11 @@ def cluster_moments(df: DataFrame, features: list[str], labels: list[str]) -> Mo
     return out
 
 
-def _names(features: list[str], labels: list[str]) -> list[str]:
-    return [f"x{i}" for i in range(len(features))] + [f"l{i}" for i in range(len(labels))]
-
-
-def _coded(df: DataFrame, features: list[str], labels: list[str], levels: dict[int, list]) -> DataFrame:
-    """Feature columns x0.. and the position of each label among the levels of its labelling as l0.. ."""
-    return df.select(
-        *[F.col(f).cast("double").alias(f"x{i}") for i, f in enumerate(features)],
-        *[(F.nullif(F.array_position(F.array(*[F.lit(v) for v in levels[i]]), F.col(c).cast("string")), F.lit(0)) - 1)
-          .cast("double").alias(f"l{i}") for i, c in enumerate(labels)])
+def _coded(features: list[str], labels: list[str], levels: dict[int, list]) -> list:
+    """Feature columns, then for each labelling the position of the label among its levels."""
+    return [F.col(f) for f in features] + [
+        F.nullif(F.array_position(F.array(*[F.lit(v) for v in levels[i]]), F.col(c).cast("string")), F.lit(0)) - 1
+        for i, c in enumerate(labels)]
 
 
 def calinski_harabasz(m: Moments, run: int) -> float | None:
@@ -119,19 +113,18 @@ def score_labellings(df: DataFrame, features: list[str], labels: list[str]) -> l
     spread, so the silhouette needs k distances per row and not n. Clusters of one row score 0.
     """
     m = cluster_moments(df, features, labels)
-    names = [f"x{i}" for i in range(len(features))]
-    codes = [f"l{i}" for i in range(len(labels))]
-    plan = _coded(df, features, labels, m.label)
+    p, n_runs = len(features), len(labels)
+    plan = df.select(packed(_coded(features, labels, m.label)))
     sizes, centres, spreads = m.n, m.centre, m.spread
 
     def run_batches(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x = matrix(batch, names)
-            own_all = matrix(batch, codes)
+            values = unpacked(batch)
+            x, own_all = values[:, :p], values[:, p:]
             out = {"run": [], "cluster": [], "sil": [], "dist": []}
-            for run in range(len(codes)):
+            for run in range(n_runs):
                 known = np.isfinite(own_all[:, run])
                 own = own_all[known, run].astype(int)
                 n, c, v = sizes[run], centres[run], spreads[run]
