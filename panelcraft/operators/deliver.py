@@ -73,11 +73,22 @@ def infer(responses: DataFrame, roles: ColumnRoles, segment: str = "cluster",
     The counts, the tested table and the deliver table are kept: they are small next to the respondents, and all later tables read
     them. A lost executor only makes Spark count again.
     """
-    counts = ct.answer_counts(responses, roles, segment).persist()
+    return infer_counts(ct.answer_counts(responses, roles, segment), roles.weight is not None, confidence, correction)
+
+
+def infer_counts(counts: DataFrame, weighted: bool = False, confidence: float = ct.CONFIDENCE,
+                 correction: str | None = "bonferroni") -> Inference:
+    counts = counts.persist()
     table = ct.expected(ct.usable_crosstab(counts)).persist()
     tests = ct.chi2_tests(table)
     cells = ct.post_hoc(table, tests, confidence, correction)
     summary = ct.segment_summary(counts)
-    deliver = deliver_table(cells, summary, weighted=roles.weight is not None).persist()
+    deliver = deliver_table(cells, summary, weighted).persist()
     return Inference(counts, table, tests, cells, summary, deliver, discover_table(deliver),
                      ct.modes(counts, include_not_shown=True))
+
+
+def release(found: Inference) -> None:
+    """Drop the kept tables of a labelling that is done with."""
+    for kept in (found.deliver, found.table, found.counts):
+        kept.unpersist()

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import graph as gr, laplacian as lp
+from ..operators import graph as gr, laplacian as lp, selection as sl
+from ..operators.mcfs import mcfs
 from .queries_metrics import EMB, vectors
-from .queries_segments import CODED, LEVELS, encoded
-from .oracle_parts import upto
+from .queries_segments import CODED, encoded
 from .registry import query
-from .responses import table
+from .responses import NUMERICS, responses, table
 
 K = 5
 MIXED_NUM = ["p_size", "p_retailprice"]
@@ -116,14 +116,88 @@ def g06(spark, sf):
     return lp.feature_ranks(_embedding_scores(spark, sf)).filter("rank <= 3").select("feature", "rank")
 
 
-_CODES = ", ".join(f"CASE {c} " + " ".join(f"WHEN '{v}' THEN {i}" for i, v in enumerate(vs)) + f" END AS f{n}"
-                   for n, (c, vs) in enumerate(LEVELS.items()))
-
-
 @query("g04_laplacian_responses")
 def g04_responses(spark, sf):
     rows = encoded(spark, sf)
     return lp.laplacian_scores(rows, gr.affinity(rows, 15, codes=CODED), CODED)
 
 
-__all__ = ["upto"]
+
+FEATURES = [*CODED, *NUMERICS]
+
+
+@query("g10_mcfs")
+def g10(spark, sf):
+    rows = encoded(spark, sf)
+    return mcfs(rows, gr.affinity(rows, K, codes=CODED), CODED, 3, 4, rounds=4)
+
+
+@query("g08_optimal_neighbours")
+def g08(spark, sf):
+    rows = encoded(spark, sf).persist()
+    best, tried = sl.optimal_laplacian(rows, CODED, 5, 15, n_cols=4, seeds=[1, 42], k_min=3, k_max=5)
+    return sl.quality_table(spark, tried).withColumn("is_best", F.col("n_neighbours") == best["n_neighbours"]).drop("cols")
+
+
+@query("g09_laplacian_only")
+def g09(spark, sf):
+    people = responses(spark, sf).select("id", *[c for c in CODED if "sbeh" in c])
+    chosen = sl.rank_features_laplacian(people, seeds=[1], k_min=3, k_max=5)
+    return spark.createDataFrame([(c,) for c in chosen], "feature string")
+
+
+@query("g12_kmeans_grid")
+def g12(spark, sf):
+    return sl.grid_table(spark, sl.kmeans_grid(encoded(spark, sf).persist(), FEATURES, top=4)).drop("features", "chi2_stat")
+
+
+@query("g13_component_grid")
+def g13(spark, sf):
+    return sl.grid_table(spark, sl.component_grid(encoded(spark, sf).persist(), FEATURES)).drop("features", "chi2_stat")
+
+
+@query("g14_kproto_grid")
+def g14(spark, sf):
+    grid = sl.kproto_grid(encoded(spark, sf).persist(), ["n_lines", "max_qty"], CODED, top=4)
+    return sl.grid_table(spark, grid).drop("features", "chi2_stat")
+
+
+@query("g15_chi2_ranking", """WITH s AS (SELECT c_nationkey % 4 AS k, c_mktsegment AS feature, round(avg(c_acctbal), 0) AS stat
+    FROM customer WHERE NOT (c_nationkey % 4 = 1 AND c_mktsegment = 'BUILDING') GROUP BY ALL),
+  g AS (SELECT a.k, b.feature, stat FROM (SELECT DISTINCT k FROM s) a JOIN (SELECT DISTINCT feature FROM s) b ON true
+    LEFT JOIN s ON s.k = a.k AND s.feature = b.feature),
+  r AS (SELECT *, rank() OVER (PARTITION BY k ORDER BY stat DESC NULLS LAST) + (count(*) OVER (PARTITION BY k, stat) - 1) / 2.0 AS r FROM g),
+  t AS (SELECT feature, CAST(sum(r) AS DOUBLE) AS total FROM r GROUP BY feature)
+  SELECT feature, total, CAST(rank() OVER (ORDER BY total) + (count(*) OVER (PARTITION BY total) - 1) / 2.0 AS DOUBLE) AS rank FROM t""")
+def g15(spark, sf):
+    stats = (table(spark, sf, "customer").filter("NOT (c_nationkey % 4 = 1 AND c_mktsegment = 'BUILDING')")
+             .groupBy((F.col("c_nationkey") % 4).alias("k"), F.col("c_mktsegment").alias("feature"))
+             .agg(F.round(F.avg("c_acctbal"), 0).alias("stat")))
+    return sl.chi2_ranking(stats).select("feature", F.col("total").cast("double").alias("total"), F.col("rank").cast("double").alias("rank"))
+
+
+@query("g16_first_per_variable", """SELECT p_brand AS q_code, min(p_retailprice) AS stat FROM part GROUP BY p_brand""")
+def g16(spark, sf):
+    parts_ = table(spark, sf, "part").select(F.col("p_brand").alias("q_code"), F.col("p_retailprice").alias("stat"))
+    return sl.first_per_variable(parts_, ["q_code"], "stat")
+
+
+@query("g17_rank_fusion", """WITH r AS (SELECT p_type AS method, p_brand AS feature, CAST(row_number() OVER (PARTITION BY p_type
+      ORDER BY sum(p_retailprice), p_brand) AS DOUBLE) AS rank FROM part GROUP BY p_type, p_brand),
+  g AS (SELECT m.method, f.feature, CASE WHEN rank <= 8 THEN rank END AS rank FROM (SELECT DISTINCT method FROM r) m
+    JOIN (SELECT DISTINCT feature FROM r WHERE rank <= 8) f ON true LEFT JOIN r ON r.method = m.method AND r.feature = f.feature)
+  SELECT feature, round(sum(coalesce(rank, 1.1 * 8)), 6) AS sum_rank FROM g GROUP BY feature ORDER BY sum_rank, feature LIMIT 8""")
+def g17(spark, sf):
+    from pyspark.sql import Window
+    sums = table(spark, sf, "part").groupBy(F.col("p_type").alias("method"), F.col("p_brand").alias("feature")).agg(
+        F.sum("p_retailprice").alias("s"))
+    ranks = sums.withColumn("rank", F.row_number().over(Window.partitionBy("method").orderBy("s", "feature")).cast("double"))
+    return sl.fuse_rankings(ranks.drop("s"), 8).select("feature", _r("sum_rank"))
+
+
+@query("g18_subsample")
+def g18(spark, sf):
+    rows = encoded(spark, sf).persist()
+    found = sl.subsample_study(rows, CODED, [0.5, 1.0], min_neighbours=5, max_neighbours=5, n_cols=4, seeds=[1], k_min=3, k_max=5)
+    return spark.createDataFrame([(f["share"], f["n_neighbours"], f["n_clusters"], f["silhouette"]) for f in found],
+                                 "share double, n_neighbours int, n_clusters int, silhouette double")
