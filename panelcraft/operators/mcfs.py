@@ -41,7 +41,8 @@ def embedding(graph: DataFrame, n_vectors: int, rounds: int = 12, tolerance: flo
     ``graph`` is symmetric. Steps use (S + 1) / 2, whose spectrum is not negative; the state is checkpointed once a
     round, so a lost executor costs a round at most and plans stay short.
     """
-    degree = graph.groupBy(F.col("src").alias("id")).agg(F.sum("w").alias("d"))
+    graph = graph.persist()
+    degree = graph.groupBy(F.col("src").alias("id")).agg(F.sum("w").alias("d")).persist()
     edges = (graph.join(degree.select(F.col("id").alias("src"), F.col("d").alias("ds")), "src")
              .join(degree.select(F.col("id").alias("dst"), F.col("d").alias("dd")), "dst")
              .select("src", "dst", (F.col("w") / F.sqrt(F.col("ds") * F.col("dd"))).alias("s")).persist())
@@ -63,9 +64,9 @@ def embedding(graph: DataFrame, n_vectors: int, rounds: int = 12, tolerance: flo
     for _ in range(rounds):
         for _ in range(STEPS_PER_ROUND):
             y = multiply(y)
-        y = cut_lineage(orthonormal(cut_lineage(y)))
-        z = cut_lineage(multiply(y).select("id", F.col("y").alias("z")))
-        both = z.join(y, "id")
+        y = cut_lineage(y)
+        y = orthonormal(y)
+        both = multiply(y).select("id", F.col("y").alias("z")).join(y, "id")
         row = both.agg(*[F.sum(F.col("y")[i] * F.col("z")[j]).alias(f"t{i}_{j}") for i in range(width) for j in range(width)]).first()
         t = np.array([[row[f"t{i}_{j}"] for j in range(width)] for i in range(width)])
         values, vectors = np.linalg.eigh((t + t.T) / 2)

@@ -138,7 +138,7 @@ def core_slices(responses: DataFrame, pairs: dict[str, list[tuple[str, str]]], s
         for s in open_segments:
             inside = F.col("cluster") == s
             for j in state[s]["kept"]:
-                inside = inside & F.col("hits")[j]
+                inside = inside & F.get("hits", F.lit(j))
             keep = keep | inside
         counts = {(r["cluster"], r["pos"]): r["n"] for r in
                   patterns.filter(keep).select("cluster", "count", F.posexplode("hits"))
@@ -168,7 +168,7 @@ def core_slices(responses: DataFrame, pairs: dict[str, list[tuple[str, str]]], s
     for s, v in state.items():
         inside = F.col("cluster") == s
         for j in v["kept"]:
-            inside = inside & F.col("hits")[j]
+            inside = inside & F.get("hits", F.lit(j))
         keep = keep | inside
     final = {r["cluster"]: (r["n"], r["n_in"]) for r in patterns.filter(keep).groupBy("cluster").agg(
         F.sum("count").alias("n"), F.sum(F.when(F.col("inside"), F.col("count")).otherwise(0)).alias("n_in")).collect()}

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import queries_inference, queries_metrics, queries_segments, queries_selection  # noqa: F401
+from . import (queries_inference, queries_metrics, queries_reports, queries_segments,  # noqa: F401
+               queries_selection)
 from .registry import ORACLES, QUERIES
 
 

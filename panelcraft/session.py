@@ -40,7 +40,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="panelcraft-checkpoint-"))
-    return df.checkpoint(eager=True)
+    held = df.persist()  # an eager checkpoint reads its input twice
+    out = held.checkpoint(eager=True)
+    held.unpersist()
+    return out
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
