@@ -36,7 +36,7 @@ FIT_TEXTS = 1_500
 FIT_REGIONS = 700
 FIT_TOKENS = 40
 EPOCHS = 5
-MARGIN = 3.0
+MARGIN = 1.0
 BUCKETS = 1 << 13
 OTHER = len(KINDS)
 TRIGGER = re.compile(r"[0-9@]|[\[({](?:at|dot)[\])}]", re.I)
@@ -176,6 +176,8 @@ def disguised(value: str, kind: int, turn: int) -> str:
     digits = re.sub(r"\D", "", value)
     if kind == 0:
         name, host = value.split("@", 1)
+        if turn // 5 % 2:  # names and hosts of letters only
+            name, host = (re.sub(r"\.?[0-9]+", "", x) or "a" for x in (name, host))
         return [f"{name} [at] {host.replace('.', ' [dot] ')}", f"{name}(at){host}", f"{name} (at) {host.replace('.', ' (dot) ')}",
                 f"{name}[at]{host.replace('.', '[dot]')}", f"{name} @ {host}"][turn % 5]
     if kind == 1:
