@@ -23,6 +23,21 @@ def _running(start: Column, total: Column, last: Column, ratio) -> Column:
     return F.aggregate(steps, seed, add, lambda acc: acc["total"])
 
 
+def _log_sum(first: Column, last: Column, log_ratio) -> Column:
+    """log of a sum of terms: exp(first), then each term exp(log_ratio(i)) times the one before, i = 1..last.
+
+    Kept in logarithms, so that a sum whose first terms are below the smallest double is still right."""
+    steps = F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
+    seed = F.struct(first.alias("term"), first.alias("total"))
+
+    def add(acc, i):
+        term = acc["term"] + log_ratio(i)
+        high, low = F.greatest(acc["total"], term), F.least(acc["total"], term)
+        return F.struct(term.alias("term"), (high + F.log1p(F.exp(low - high))).alias("total"))
+
+    return F.aggregate(steps, seed, add, lambda acc: acc["total"])
+
+
 def erfc(z: Column) -> Column:
     """Complementary error function for z >= 0, absolute error near 1e-15; 0 beyond z = 6."""
     z = z.cast("double")
@@ -35,15 +50,16 @@ def chi2_upper_tail(stat: Column, dof: Column) -> Column:
     """P(X >= stat) for a chi-squared variable; finite sums for both parities of ``dof``."""
     h = stat.cast("double") / 2.0
     dof = dof.cast("int")
-    even = _running(F.exp(-h), F.exp(-h), (dof / 2).cast("int") - 1, lambda i: h / i)
-    first = F.exp(-h) * F.sqrt(h) * (2.0 / math.sqrt(math.pi))
+    log_h = F.log(h)
+    even = F.exp(_log_sum(-h, (dof / 2).cast("int") - 1, lambda i: log_h - F.log(i.cast("double"))))
+    first = -h + log_h / 2 + math.log(2.0 / math.sqrt(math.pi))
     odd_one = erfc(F.sqrt(h))
-    odd_more = odd_one + _running(first, first, ((dof - 1) / 2).cast("int") - 1, lambda i: h / (i + 0.5))
+    odd_more = odd_one + F.exp(_log_sum(first, ((dof - 1) / 2).cast("int") - 1, lambda i: log_h - F.log(i + 0.5)))
     return (F.when(stat.isNull(), F.lit(1.0))
             .when((dof <= 0) | (stat <= 0), F.lit(1.0))
-            .when(dof % 2 == 0, even)
+            .when(dof % 2 == 0, F.least(even, F.lit(1.0)))
             .when(dof == 1, odd_one)
-            .otherwise(odd_more))
+            .otherwise(F.least(odd_more, F.lit(1.0))))
 
 
 def normal_two_sided(z: Column) -> Column:

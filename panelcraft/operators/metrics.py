@@ -115,19 +115,32 @@ def core_slices(responses: DataFrame, pairs: dict[str, list[tuple[str, str]]], s
     Respondents are reduced once to counts of hit patterns. A walk over the columns then needs one aggregate
     over the patterns per accepted filter, for all segments together: with the present filters fixed, the next
     column accepted is the first whose count passes. ``population`` slices all rows instead of the segment's.
+    A segment without any pair has no filter: its slice is all of it and its core is empty.
     """
     spark = responses.sparkSession
     schema = "cluster string, core array<string>, n_slice long, n_slice_in long, retained double"
+    own = F.col(segment).cast("string")
+    everyone = {r["cluster"]: r["count"] for r in responses.groupBy(own.alias("cluster")).count().collect()}
+    total = sum(everyone.values())
     pairs = {s: p for s, p in pairs.items() if p}
+    share = SLICE_START
+    while share >= SLICE_FLOOR:
+        share -= SLICE_STEP
+    bare = [(s, [], total if population else n, n, round(share, 6)) for s, n in everyone.items()
+            if s is not None and s not in pairs]
     if not pairs:
-        return spark.createDataFrame([], schema)
-    own = F.col(segment).cast("string")
-    hits = None
-    for s, cols in pairs.items():
-        rows = responses if population else responses.filter(own == s)
-        part = rows.select(F.lit(s).alias("cluster"), (own == s).alias("inside"),
-                           F.array(*[F.coalesce(F.col(c) == m, F.lit(False)) for c, m in cols]).alias("hits"))
-        hits = part if hits is None else hits.unionByName(part)
+        return spark.createDataFrame(sorted(bare), schema)
+
+    def hit_array(cols: list[tuple[str, str]]):
+        return F.array(*[F.coalesce(F.col(c) == m, F.lit(False)) for c, m in cols])
+
+    if population:
+        branches = F.array(*[F.struct(F.lit(s).alias("cluster"), F.coalesce(own == s, F.lit(False)).alias("inside"),
+                                      hit_array(cols).alias("hits")) for s, cols in pairs.items()])
+        hits = responses.select(F.explode(branches).alias("b")).select("b.*")
+    else:
+        chosen = F.coalesce(*[F.when(own == s, hit_array(cols)) for s, cols in pairs.items()])
+        hits = responses.filter(own.isin(list(pairs))).select(own.alias("cluster"), F.lit(True).alias("inside"), chosen.alias("hits"))
     patterns = hits.groupBy("cluster", "hits", "inside").count().persist()
     sizes = {r["cluster"]: r["n"] for r in patterns.groupBy("cluster").agg(F.sum("count").alias("n")).collect()}
     state = {s: {"kept": set(), "core": [], "at": 0, "share": SLICE_START, "rows": sizes.get(s, 0),
@@ -173,8 +186,8 @@ def core_slices(responses: DataFrame, pairs: dict[str, list[tuple[str, str]]], s
     final = {r["cluster"]: (r["n"], r["n_in"]) for r in patterns.filter(keep).groupBy("cluster").agg(
         F.sum("count").alias("n"), F.sum(F.when(F.col("inside"), F.col("count")).otherwise(0)).alias("n_in")).collect()}
     patterns.unpersist()
-    rows = [(s, v["core"], *final.get(s, (0, 0)), round(v["share"], 6)) for s, v in sorted(state.items())]
-    return spark.createDataFrame(rows, schema)
+    rows = bare + [(s, v["core"], *final.get(s, (0, 0)), round(v["share"], 6)) for s, v in state.items()]
+    return spark.createDataFrame(sorted(rows), schema)
 
 
 def signal_fields(size: str, inside: str, segment: str, total: str) -> dict:

@@ -129,8 +129,9 @@ def score_labellings(df: DataFrame, features: list[str], labels: list[str]) -> l
                 own = own_all[known, run].astype(int)
                 n, c, v = sizes[run], centres[run], spreads[run]
                 rows = x[known]
-                d2 = ((rows[:, None, :] - c[None, :, :]) ** 2).sum(-1) if rows.shape[1] * len(c) < 4096 else \
-                    np.maximum((rows ** 2).sum(1)[:, None] - 2 * rows @ c.T + (c ** 2).sum(1)[None, :], 0)
+                middle = c.mean(axis=0)  # near it the squares stay small
+                near, mid = rows - middle, c - middle
+                d2 = np.maximum((near ** 2).sum(1)[:, None] - 2 * near @ mid.T + (mid ** 2).sum(1)[None, :], 0)
                 at = np.arange(len(own))
                 mean = d2 + v[None, :]
                 inner = mean[at, own] * n[own] / np.maximum(n[own] - 1, 1)

@@ -207,14 +207,14 @@ def criteria_of(model: mi.Mixture, won: np.ndarray, n: float, d: int) -> dict:
 def offset_labels(branches: DataFrame, branch: str, local: str, ignored: list[str] | None = None) -> DataFrame:
     """Labels that stay apart across branches: each branch starts after the labels of the ones before it.
 
-    A branch without labels is one segment; an ignored branch is marked and takes no labels.
+    A branch without labels is one segment, rows without a branch are a branch of their own; an ignored branch is marked and takes no labels.
     """
     skip = F.col(branch).isin(*ignored) if ignored else F.lit(False)
     sizes = (branches.groupBy(branch).agg(F.coalesce(F.max(local), F.lit(0)).alias("top"))
              .withColumn("width", F.when(skip, 0).otherwise(F.col("top") + 1)))
     before = Window.orderBy(branch).rowsBetween(Window.unboundedPreceding, -1)  # one row per branch
-    offsets = sizes.select(branch, F.coalesce(F.sum("width").over(before), F.lit(0)).alias("offset"))
-    return (branches.join(F.broadcast(offsets), branch)
+    offsets = sizes.select(F.col(branch).alias("_branch"), F.coalesce(F.sum("width").over(before), F.lit(0)).alias("offset"))
+    return (branches.join(F.broadcast(offsets), F.col(branch).eqNullSafe(F.col("_branch"))).drop("_branch")
             .withColumn("cluster", F.when(skip, IGNORED_LABEL)
                         .otherwise(F.coalesce(F.col(local), F.lit(0)) + F.col("offset")).cast("int")).drop("offset"))
 
@@ -225,14 +225,15 @@ def hierarchical(df: DataFrame, column: str, method: Callable[[DataFrame], Segme
     values = [r[0] for r in df.select(column).distinct().orderBy(column).collect()]
     parts, models = None, {}
     for value in values:
-        branch = df.filter(F.col(column) == F.lit(value))
+        own = F.lit(value).cast(df.schema[column].dataType)
+        branch = df.filter(F.col(column).eqNullSafe(own))
         part = branch.select(id_col, F.col(column).alias("branch"), F.lit(0).alias("local"))
         if not ignored or value not in ignored:
             found = method(branch)
             models[value] = found.model
             if found.labels is not None:
                 part = (found.labels.withColumnRenamed("cluster", "local")
-                        .select(id_col, F.lit(value).alias("branch"), "local"))
+                        .select(id_col, own.alias("branch"), "local"))
         parts = part if parts is None else parts.unionByName(part)
     labels = offset_labels(parts, "branch", "local", ignored).select(id_col, "cluster")
     return Segmentation(f"Hierarchical using {column}", labels, [], models)

@@ -86,7 +86,7 @@ def _slicer_sql(final: str) -> str:
         steps.append(f"""st{step + 1} AS MATERIALIZED (SELECT cluster, width, kept,
           CAST({share!r} AS DOUBLE) * {rows('s.kept')} AS least FROM st{step} s)""")
         step += 1
-    extra = [f"""picks AS (SELECT targeting_seg AS cluster, q_code, pop_mode,
+    extra = [SIZES, f"""picks AS (SELECT targeting_seg AS cluster, q_code, pop_mode,
         row_number() OVER (PARTITION BY targeting_seg ORDER BY chi_2_result, q_code) - 1 AS j,
         count(*) OVER (PARTITION BY targeting_seg) AS width FROM deliver WHERE contains(lower(q_code), 'tgt'))""",
              """masks AS (SELECT cluster, width, mask, count(*) AS n FROM (SELECT l.id, l.cluster, width,
@@ -95,7 +95,9 @@ def _slicer_sql(final: str) -> str:
         GROUP BY cluster, width, mask)""", *steps,
              f"""slices AS (SELECT s.cluster, coalesce((SELECT string_agg(p.q_code, '|' ORDER BY p.j) FROM picks p
         WHERE p.cluster = s.cluster AND (s.kept >> p.j) & 1 = 1), '') AS core,
-        CAST({rows('s.kept')} AS BIGINT) AS n_slice, {round(share, 6)} AS retained FROM st{step} s)""", SIZES]
+        CAST({rows('s.kept')} AS BIGINT) AS n_slice, {round(share, 6)} AS retained FROM st{step} s
+        UNION ALL SELECT cluster, '', CAST(n AS BIGINT), {round(share, 6)} FROM sizes
+        WHERE cluster NOT IN (SELECT cluster FROM picks))"""]
     return upto("deliver", final, extra)
 
 

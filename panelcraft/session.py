@@ -33,12 +33,14 @@ def build_session(app: str = "panelcraft", master: str | None = None, **conf) ->
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Checkpoint into the shared folder named by ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (tests, one machine) a temporary folder is set.
+    Only on a local master, one machine, a temporary folder stands in for a missing setting.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+        if not named and (not context.master.startswith("local") or context.master.startswith("local-cluster")):
+            raise ValueError("spark.checkpoint.dir is not set; name a folder that driver and executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="panelcraft-checkpoint-"))
     held = df.persist()  # an eager checkpoint reads its input twice
     out = held.checkpoint(eager=True)

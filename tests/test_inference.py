@@ -27,7 +27,8 @@ def test_erfc_and_tails(spark):
     for got, z in zip(row, (0.0, 0.3, 1.0, 2.5, 4.0, 7.0)):
         assert got == pytest.approx(math.erfc(z), abs=1e-13)
     cases = [(5.4, 1, math.erfc(math.sqrt(2.7))), (3.0, 2, math.exp(-1.5)), (7.81472790325118, 3, 0.05), (11.0704976935164, 5, 0.05),
-             (15.5073130558655, 8, 0.05), (0.0, 0, 1.0), (3000.0, 4, 0.0)]
+             (15.5073130558655, 8, 0.05), (0.0, 0, 1.0), (3000.0, 4, 0.0),
+             (1600.0, 1600, 0.49529838757844), (67.5048065495412, 50, 0.05), (2000.0, 2000, 0.49579475581993)]
     df = spark.createDataFrame([(x, d) for x, d, _ in cases], "x double, d int")
     for r, (_, _, want) in zip(df.select(chi2_upper_tail(F.col("x"), F.col("d")).alias("p")).collect(), cases):
         assert r["p"] == pytest.approx(want, abs=1e-9)

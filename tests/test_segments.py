@@ -213,3 +213,32 @@ def test_missing_feature_raises(blobs):
     from pyspark.errors import AnalysisException
     with pytest.raises(AnalysisException):
         blobs.select("nope").collect()
+
+
+def test_rows_without_a_branch_keep_labels(spark):
+    from panelcraft.operators.segment import Segmentation, hierarchical
+
+    rows = spark.createDataFrame([(i, ["a", "b", None][i % 3], i % 2) for i in range(60)], "id long, part string, side int")
+    seg = hierarchical(rows, "part", lambda branch: Segmentation(
+        "parity", branch.select("id", F.col("side").alias("cluster")), [], None))
+    got = rows.join(seg.labels, "id").groupBy("part").agg(F.countDistinct("cluster").alias("n"), F.count("*").alias("rows")).collect()
+    assert {(r["part"], r["n"], r["rows"]) for r in got} == {("a", 2, 20), ("b", 2, 20), (None, 2, 20)}
+    assert seg.labels.select("cluster").distinct().count() == 6
+
+
+def test_distances_survive_a_large_offset():
+    from panelcraft.operators.centres import Centres
+
+    shift = 1.7e9
+    centres = Centres(numeric=np.array([[0.0], [10.0], [20.0]]) + shift, modes=np.zeros((3, 0), int), gamma=0.0)
+    x = np.array([[0.5], [9.0], [21.0]]) + shift
+    assert np.allclose(centres.distances(x, np.zeros((3, 0), int)).min(axis=1), [0.25, 1.0, 1.0])
+
+
+def test_a_segment_without_findings_is_its_own_slice(spark):
+    from panelcraft.operators.metrics import core_slices
+
+    rows = spark.createDataFrame([(i, "ab"[i % 2], "x" if i % 4 else "y") for i in range(40)], "id long, cluster string, q_tgt string")
+    got = {r["cluster"]: r for r in core_slices(rows, {"a": [("q_tgt", "x")]}).collect()}
+    assert (got["b"]["core"], got["b"]["n_slice"], got["b"]["n_slice_in"]) == ([], 20, 20)
+    assert got["b"]["retained"] <= 0.15
