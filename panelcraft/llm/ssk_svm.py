@@ -35,7 +35,7 @@ SPAN = 7
 LANDMARKS = 96
 FIT_DOCS = 6_000
 THRESHOLD = 0.3
-CACHE_WORDS = 800_000
+CACHE_WORDS = 400_000
 SPACED = re.compile(r"(?<!\S)\S(?:\s\S){3,}(?!\S)")
 EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 PAIRS = [(a, b) for b in range(2, SPAN) for a in range(1, b)]
@@ -113,15 +113,37 @@ def instances(text: str) -> list[str]:
     return text.split() + [re.sub(r"\s", "", m[0]) for m in SPACED.finditer(text)]
 
 
-def feature_matrix(words: list[str], landmarks: np.ndarray) -> np.ndarray:
-    """Kernel of words against landmarks given as normed weight vectors (landmark x subsequence)."""
-    out = np.zeros((len(words), len(landmarks)))
-    for code, owner, decay in subsequences(words):
-        at = np.flatnonzero(code)
-        order = landmarks[:, code[at]]
-        for k in range(len(landmarks)):
-            out[:, k] += decay * np.bincount(owner[at], order[k], len(words))
-    return out / norms(np.array([len(w) for w in words], np.int64))[:, None]
+class Landmarks:
+    """Normed weight vectors of the landmark words, over the subsequences that occur in any of them."""
+
+    def __init__(self, words: list[str]):
+        found = [(code, owner, np.full(len(code), decay)) for code, owner, decay in subsequences(words)]
+        code, owner, decay = (np.concatenate(c) for c in zip(*found))
+        self.codes = np.unique(code[code > 0])
+        self.column = np.full(CODES, -1, np.int32)
+        self.column[self.codes] = np.arange(len(self.codes))
+        self.table = np.zeros((len(words), len(self.codes)))
+        np.add.at(self.table, (owner[code > 0], self.column[code[code > 0]]), decay[code > 0])
+        self.table /= norms(np.array([len(w) for w in words], np.int64))[:, None]
+
+    def kernel(self, words: list[str], rows: int = 1_000) -> np.ndarray:
+        """Kernel of words against the landmarks."""
+        return np.vstack([self._kernel(words[i:i + rows]) for i in range(0, len(words), rows)])
+
+    def _kernel(self, words: list[str]) -> np.ndarray:
+        width = len(self.codes)
+        counts = np.zeros(len(words) * width)
+        for code, owner, decay in subsequences(words):
+            column = self.column[code]
+            at = np.flatnonzero(column >= 0)
+            np.add.at(counts, owner[at] * width + column[at], decay)
+        return counts.reshape(len(words), width) @ self.table.T / norms(np.array([len(w) for w in words], np.int64))[:, None]
+
+    def fold(self, by_landmark: np.ndarray) -> np.ndarray:
+        """Weights of all subsequences for a weight of each landmark."""
+        out = np.zeros(CODES)
+        out[self.codes] = by_landmark @ self.table
+        return out
 
 
 def hinge(x: np.ndarray, y: np.ndarray, cost: np.ndarray, rounds: int = 300) -> tuple[np.ndarray, float]:
@@ -167,12 +189,8 @@ def train(texts: list[str], toxic: list[int], landmarks: int = LANDMARKS) -> Mac
     marks = liked[:landmarks]
     if not marks:
         return None
-    table = np.zeros((len(marks), CODES))
-    for code, owner, decay in subsequences(marks):
-        np.add.at(table, (owner, code), decay)
-    table[:, 0] = 0
-    table /= norms(np.array([len(w) for w in marks], np.int64))[:, None]
-    own = feature_matrix(marks, table)
+    near = Landmarks(marks)
+    own = near.kernel(marks)
     level, turn = np.linalg.eigh((own + own.T) / 2)
     use = level > 1e-6 * level.max()
     whiten = turn[:, use] / np.sqrt(level[use])  # features: kernel row times this
@@ -190,9 +208,8 @@ def train(texts: list[str], toxic: list[int], landmarks: int = LANDMARKS) -> Mac
         rows = positive + extra + negative + hard
         sign = np.r_[np.ones(len(positive) + len(extra)), -np.ones(len(negative) + len(hard))]
         mass = np.r_[[counted[w] for w in positive], np.full(len(extra), 0.5), np.full(len(negative), 0.2), np.full(len(hard), 5.0)]
-        kernel = np.vstack([feature_matrix(rows[i:i + 4_000], table) for i in range(0, len(rows), 4_000)])
-        w, bias = hinge(kernel @ whiten, sign, mass * 10 / len(rows) * 50)
-        machine = Machine(np.ascontiguousarray((whiten @ w) @ table), bias)
+        w, bias = hinge(near.kernel(rows) @ whiten, sign, mass * 10 / len(rows) * 50)
+        machine = Machine(near.fold(whiten @ w), bias)
         value: dict[str, float] = {}
         every = sorted({x for own in words for x in own})
         for at in range(0, len(every), 20_000):
@@ -223,7 +240,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS) -> Machine
     order = (F.xxhash64("doc_id"), F.col("doc_id"))
     half = fit_docs // 2
     taken = known.where("toxic = 1").orderBy(*order).limit(half).union(known.where("toxic = 0").orderBy(*order).limit(half))
-    got = id_text(docs).join(F.broadcast(taken), "doc_id").select("doc_id", "text", "toxic").collect()  # as many rows as taken names
+    got = id_text(docs).join(F.broadcast(taken), "doc_id").select("doc_id", "text", "toxic").limit(2 * fit_docs).collect()  # more than fit_docs only where ids repeat
     got = sorted({r["doc_id"]: r for r in got}.values(), key=lambda r: r["doc_id"])
     return train([r["text"] or "" for r in got], [r["toxic"] for r in got])
 
