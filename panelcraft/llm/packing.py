@@ -26,6 +26,8 @@ from .linear_grouping import Plan
 from .public_ids import END_ID, default_path, encoder
 
 CAPACITY = 1024
+#: Chunks a worker's encoder holds: packing is run beside or after other stages in the same workers.
+CACHED_CHUNKS = 500_000
 PIECES_DDL = "doc_id long, piece int, start long, length long, ids_crc32 long, part long, nth long"
 PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
                     ("ids_crc32", pa.int64()), ("part", pa.int64()), ("nth", pa.int64())])
@@ -44,7 +46,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = No
         for batch in batches:
             for some in slices(batch, 1):
                 rows = []
-                for doc, ids in zip(some.column(0).to_pylist(), encoder(tokenizer).encode(texts_of(some.column(1)))):
+                for doc, ids in zip(some.column(0).to_pylist(), encoder(tokenizer, CACHED_CHUNKS).encode(texts_of(some.column(1)))):
                     ids = ids + end
                     for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                         own = ids[at:at + 4 * capacity]

@@ -6,14 +6,14 @@ import os
 from array import array
 from functools import cache
 
-from .spaced_cache import SpacedCache
+from .spaced_cache import CACHE_CHUNKS, SpacedCache
 
 #: Id appended to each document.
 END_ID = 2
 
 
 @cache
-def encoder(path: str) -> SpacedCache:
+def encoder(path: str, chunks: int = CACHE_CHUNKS) -> SpacedCache:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
@@ -23,7 +23,7 @@ def encoder(path: str) -> SpacedCache:
     def encode_many(texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    return SpacedCache(encode_many)
+    return SpacedCache(encode_many, chunks)
 
 
 def default_path() -> str:

@@ -35,7 +35,7 @@ SPAN = 7
 LANDMARKS = 96
 FIT_DOCS = 6_000
 THRESHOLD = 0.3
-CACHE_WORDS = 400_000
+CACHE_WORDS = 250_000
 SPACED = re.compile(r"(?<!\S)\S(?:\s\S){3,}(?!\S)")
 EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 PAIRS = [(a, b) for b in range(2, SPAN) for a in range(1, b)]
