@@ -35,7 +35,7 @@ def shared_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: the lineage ends there, and tasks that are
     lost or run twice leave one committed copy."""
     path = f"{shared_folder(df.sparkSession)}/corpus-{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
