@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 #: Rows and characters an Arrow step works on at once; a single longer text is a slice of its own.
 SLICE_ROWS = 2_000
-SLICE_CHARS = 2_000_000
+SLICE_CHARS = 500_000
 
 
 def shared_folder(spark: SparkSession) -> str:
