@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_step, id_text, keep_rows, remainder_column, texts_of
+from .common import arrow_step, below_cut, id_text, keep_rows, remainder_column, texts_of
 
 ORDER = 4
 FIT_DOCS = 2_400
@@ -163,10 +163,12 @@ def calibrate(model: Model, texts: list[str], languages: list[str]) -> None:
 def fit(labelled: DataFrame, fit_docs: int = FIT_DOCS) -> Model | None:
     """Model of labelled rows (doc_id, text, lang); null languages teach nothing."""
     rows = labelled.where("lang IS NOT NULL AND text IS NOT NULL")
-    kinds = max(1, rows.select("lang").distinct().count())
+    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("size"))
+    each = max(5, fit_docs // max(1, sizes.count()))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    places = rows.select("doc_id", "lang").withColumn("place", F.row_number().over(order)) \
-        .where(F.col("place") <= max(5, fit_docs // kinds))  # fit_docs rows at most; texts are read for these only
+    few = rows.select("doc_id", "lang").join(sizes, "lang").where(below_cut(each, F.col("size")))
+    places = few.select("doc_id", "lang", F.row_number().over(order).alias("place")) \
+        .where(F.col("place") <= each).orderBy("lang", "place").limit(fit_docs)  # texts are read for these only
     taken = rows.join(F.broadcast(places), ["doc_id", "lang"]).orderBy("lang", "place").limit(fit_docs).collect()
     held = [r for r in taken if r["place"] % 5 == 0]
     own = [r for r in taken if r["place"] % 5]

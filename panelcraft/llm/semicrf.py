@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_step, id_text, texts_of
+from .common import arrow_step, below_cut, id_text, texts_of
 from .pii_patterns import KINDS, base_spans, luhn
 
 MOST_TOKENS = 6
@@ -246,7 +246,8 @@ def train(texts: list[str]) -> np.ndarray | None:
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> np.ndarray | None:
-    rows = id_text(docs, id_col, text_col).where(F.col("text").rlike(TRIGGER_SQL)) \
+    found = id_text(docs, id_col, text_col).where(F.col("text").rlike(TRIGGER_SQL))
+    rows = found.where(below_cut(FIT_TEXTS, max(1, found.count()))) \
         .orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(FIT_TEXTS).collect()
     return train([r["text"] for r in rows])
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_step, id_text, keep_rows, remainder_column, texts_of
+from .common import arrow_step, below_cut, id_text, keep_rows, remainder_column, texts_of
 
 DECAY = 0.7
 SPAN = 7
@@ -239,7 +239,13 @@ def fit(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS) -> Machine
     known = labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = (F.xxhash64("doc_id"), F.col("doc_id"))
     half = fit_docs // 2
-    taken = known.where("toxic = 1").orderBy(*order).limit(half).union(known.where("toxic = 0").orderBy(*order).limit(half))
+    sizes = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}  # two rows
+
+    def some(toxic: int) -> DataFrame:
+        own = known.where(F.col("toxic") == toxic)
+        return own.where(below_cut(half, sizes.get(toxic, 1))).orderBy(*order).limit(half)
+
+    taken = some(1).union(some(0))
     got = id_text(docs).join(F.broadcast(taken), "doc_id").select("doc_id", "text", "toxic").limit(2 * fit_docs).collect()  # more than fit_docs only where ids repeat
     got = sorted({r["doc_id"]: r for r in got}.values(), key=lambda r: r["doc_id"])
     return train([r["text"] or "" for r in got], [r["toxic"] for r in got])
