@@ -164,7 +164,10 @@ def fit(labelled: DataFrame, fit_docs: int = FIT_DOCS) -> Model | None:
     """Model of labelled rows (doc_id, text, lang); null languages teach nothing."""
     rows = labelled.where("lang IS NOT NULL AND text IS NOT NULL")
     sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("size"))
-    each = max(5, fit_docs // max(1, sizes.count()))
+    kinds = sizes.count()
+    each = max(5, fit_docs // max(1, kinds))
+    if kinds <= fit_docs:  # a row for each language, counted; beyond that an ordinary join
+        sizes = F.broadcast(sizes)
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     few = rows.select("doc_id", "lang").join(sizes, "lang").where(below_cut(each, F.col("size")))
     places = few.select("doc_id", "lang", F.row_number().over(order).alias("place")) \
