@@ -31,6 +31,18 @@ def unpacked(batch: pa.RecordBatch, name: str = PACKED) -> np.ndarray:
     return flat.reshape(batch.num_rows, -1) if batch.num_rows else flat.reshape(0, 0)
 
 
+def no_gaps(df: DataFrame, columns: list[str]) -> None:
+    """Raise where a column has a missing number: distances and sums over it would be undefined."""
+    gaps = [F.count_if(F.col(f"`{c}`").isNull() | F.isnan(F.col(f"`{c}`").cast("double"))).alias(f"g{i}") for i, c in enumerate(columns)]
+    found = df.agg(*gaps).first() if columns else ()
+    refuse_gaps({c: n for c, n in zip(columns, found) if n})
+
+
+def refuse_gaps(gaps: dict[str, int]) -> None:
+    if gaps:
+        raise ValueError("Missing values, fill them first: " + ", ".join(f"{c} ({n} rows)" for c, n in gaps.items()))
+
+
 def partial_sums(df: DataFrame, columns: list, fn: Callable[[np.ndarray], dict[str, np.ndarray]],
                  keys: list[str], value: str = "value") -> DataFrame:
     """Sum by key of what ``fn`` returns per batch: equally long integer key arrays and one value array.

@@ -16,10 +16,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.sampling import unit_hash
-from .batch import add_columns, packed, unpacked
+from .batch import PACKED, add_columns, no_gaps, packed, partial_sums, unpacked
 from .reduce import Axes
 
-POOL_ROWS = 1000
+ROUNDS, DRAWS, POOL_BLOCK = 5, 200, 2000
 MAX_ITERATIONS = 100
 TOLERANCE = 1e-4
 
@@ -35,6 +35,7 @@ class Centres:
     sizes: np.ndarray | None = None
     iterations: int = 0
     axes: Axes | None = None
+    settled: bool = False  # at rest, not stopped by the number of iterations
 
     @property
     def k(self) -> int:
@@ -74,31 +75,89 @@ def patterns(df: DataFrame, codes: list[str]) -> DataFrame:
     return df.groupBy(*codes).agg(F.count(F.lit(1)).cast("double").alias("copies"))
 
 
-def start_pool(df: DataFrame, layout: Layout, id_col: str, rows: int = POOL_ROWS) -> np.ndarray:
-    """Rows from which starts are drawn, chosen by key hash; every fit still runs on all rows."""
-    picked = (df.select(packed(layout.names), unit_hash(id_col, 7).alias("h"), F.col(id_col).alias("i"))
-              .orderBy("h", "i").limit(rows).drop("h", "i").collect())
-    return np.array([r[0] for r in picked], dtype=float).reshape(len(picked), len(layout.names))
+@dataclass
+class Pool:
+    """Candidate starts of a table, the number of rows nearest to each, and the tolerance of its fits."""
+
+    rows: np.ndarray
+    weight: np.ndarray
+    tolerance: float
+
+    def __len__(self) -> int:
+        return len(self.rows)
+
 
+def start_pool(df: DataFrame, layout: Layout, id_col: str, gamma: float = 1.0, least: int = 0) -> Pool:
+    """Candidates from all rows, after k-means|| (Bahmani et al. 2012).
 
-def spread_starts(pool: np.ndarray, layout: Layout, k: int, seed: int, gamma: float = 1.0) -> Centres:
-    """k-means++ draws from the pool."""
+    Each of ROUNDS passes draws DRAWS rows without replacement, a row's weight being its distance to the candidates so
+    far (the largest ln(u) / distance, u a hash of the key). More passes follow while there are fewer than ``least``
+    different candidates and rows apart from all of them. A last pass counts the rows nearest to each candidate and takes
+    the variances of which the tolerance is a part.
+    """
+    no_gaps(df, layout.names)
+    held = df.select(packed(layout.names), F.col(id_col).alias("i")).persist()
+    first = held.orderBy(unit_hash("i", 7), "i").limit(1).collect()
+    if not first:
+        held.unpersist()
+        return Pool(np.zeros((0, len(layout.names))), np.zeros(0), 0.0)
+    known = np.array([first[0][0]], dtype=float)
+    kind = held.schema["i"].dataType.simpleString()
+
+    def blocks(x: np.ndarray, near: Centres):
+        return (near.distances(*layout.split(x[at:at + POOL_BLOCK])) for at in range(0, len(x), POOL_BLOCK))
+
+    def away(near: Centres):
+        def step(batches):
+            for batch in batches:
+                if batch.num_rows:
+                    d = np.concatenate([d.min(1) for d in blocks(unpacked(batch), near)])
+                    yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(d)], names=[PACKED, "i", "d"])
+
+        return step
+
+    turn = 0
+    while turn < ROUNDS or len(known) < least:
+        turn += 1
+        u = F.greatest(unit_hash("i", 7 + turn), F.lit(1e-300))
+        drawn = (held.mapInArrow(away(Centres(*layout.split(known), gamma)), f"{PACKED} array<double>, i {kind}, d double")
+                 .where("d > 0").orderBy((F.log(u) / F.col("d")).desc(), "i").limit(DRAWS).select(PACKED).collect())
+        grown = np.unique(np.array([*known.tolist(), *(r[0] for r in drawn)], dtype=float), axis=0)
+        if len(grown) == len(known):
+            break
+        known = grown
+    near, m = Centres(*layout.split(known), gamma), len(known)
+    middle = layout.split(known)[0].mean(0)
+    p = len(middle)
+
+    def counted(x: np.ndarray) -> dict[str, np.ndarray]:
+        own = np.concatenate([d.argmin(1) for d in blocks(x, near)])
+        shifted = layout.split(x)[0] - middle
+        return {"pos": np.arange(m + 2 * p),
+                "value": np.concatenate([np.bincount(own, minlength=m), shifted.sum(0), (shifted ** 2).sum(0)])}
+
+    total = np.zeros(m + 2 * p)
+    for r in partial_sums(held, [F.col(PACKED)[i] for i in range(len(layout.names))], counted, ["pos"]).collect():
+        total[r["pos"]] = r["value"]
+    held.unpersist()
+    n = total[:m].sum()
+    variance = total[m + p:] / n - (total[m:m + p] / n) ** 2
+    return Pool(known, total[:m], TOLERANCE * float(variance.mean()) if p else 0.0)
+
+
+def spread_starts(pool: Pool, layout: Layout, k: int, seed: int, gamma: float = 1.0) -> Centres:
+    """k-means++ draws from the candidates, each weighing as many rows as are nearest to it."""
     rng = np.random.default_rng(seed)
-    x, codes = layout.split(pool)
-    chosen = [int(rng.integers(len(pool)))]
+    x, codes = layout.split(pool.rows)
+    share = pool.weight / pool.weight.sum()
+    chosen = [int(rng.choice(len(pool), p=share))]
     for _ in range(1, k):
-        near = Centres(x[chosen], codes[chosen], gamma).distances(x, codes).min(1)
-        total = near.sum()
-        chosen.append(int(rng.choice(len(pool), p=near / total)) if total > 0 else int(rng.integers(len(pool))))
+        mass = share * Centres(x[chosen], codes[chosen], gamma).distances(x, codes).min(1)
+        total = mass.sum()
+        chosen.append(int(rng.choice(len(pool), p=mass / total if total > 0 else share)))
     return Centres(x[chosen], codes[chosen], gamma, axes=layout.axes)
 
 
-def rest_tolerance(pool: np.ndarray, layout: Layout) -> float:
-    """Squared move of centres taken as rest: a small part of the mean variance of the numeric columns."""
-    x, _ = layout.split(pool)
-    return TOLERANCE * float(x.var(0).mean()) if x.shape[1] else 0.0
-
-
 def dense_starts(weighted: DataFrame, layout: Layout, k: int, gamma: float = 1.0) -> Centres:
     """Deterministic starts for coded rows: the densest pattern, then repeatedly the pattern whose density times
     mismatches to its nearest start is largest. Density is the mean share of a pattern's answers (Cao et al. 2009).
@@ -205,8 +264,8 @@ def fit(rows: DataFrame, layout: Layout, starts: dict[int, Centres], max_iterati
                     elif r["kind"] == 3:
                         modes[r["cluster"], r["pos"]] = r["best"]["code"]
             cost = float(sum(r["total"] for r in own if r["kind"] == 1))
-            new = Centres(numeric, modes, old.gamma, cost, sizes, iteration, layout.axes)
-            still = float(((numeric - old.numeric) ** 2).sum()) <= tolerance and (modes == old.modes).all()
+            still = bool(((numeric - old.numeric) ** 2).sum() <= tolerance and (modes == old.modes).all())
+            new = Centres(numeric, modes, old.gamma, cost, sizes, iteration, layout.axes, still)
             if still or iteration == max_iterations:
                 done[run] = new
                 del live[run]

@@ -17,7 +17,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from .batch import unpacked
+
+from .batch import no_gaps, unpacked
 
 MAX_PIVOTS = 512
 BLOCK_ROWS = 4096
@@ -80,8 +81,10 @@ def nearest(df: DataFrame, k: int, id_col: str = "id", numeric: list[str] | None
     """(src, dst, d, rn[, src_group, dst_group]): the k nearest other rows of each row, ties to the smaller id.
 
     ``by`` restricts neighbours to the row's own group; ``across`` asks for k in every group instead.
+    Missing values raise: a row without neighbours would be lost to what is built on them.
     """
     numeric, codes = list(numeric or []), list(codes or [])
+    no_gaps(df, [*numeric, *codes])
     rows = _prepare(df, id_col, numeric, codes, metric, by)
     n_codes = len(codes) if metric == "gower" else 0
     space = Space(metric, len(numeric) + len(codes) - n_codes, n_codes)

@@ -5,9 +5,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .batch import refuse_gaps
+
 # Share of variance that decides the number of components.
 VARIANCE_SHARE = 0.5
 GRID_VARIANCE_SHARE = 0.75
@@ -60,19 +62,27 @@ class Gram:
         return Axes(columns, self.mean[at], scale, vectors, values / total if total > 0 else values)
 
 
+def _gaps(name: str) -> Column:
+    return F.count_if(F.col(name).isNull() | F.isnan(name))
+
+
 def gram(df: DataFrame, columns: list[str]) -> Gram:
-    """Correlations by ``ml.stat`` (a distributed p x p sum) and population moments by one aggregate."""
+    """Correlations by ``ml.stat`` (a distributed p x p sum) and population moments by one aggregate.
+
+    Missing values raise: no row is left out."""
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.stat import Correlation
 
     plain = df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(columns)])
     names = plain.columns
-    row = plain.agg(*[f(c).alias(k + c) for c in names for k, f in (("m", F.avg), ("s", F.stddev_pop))]).first()
+    row = plain.agg(*[f(c).alias(k + c) for c in names for k, f in (
+        ("m", F.avg), ("s", F.stddev_pop), ("g", _gaps))]).first()
+    refuse_gaps({c: row["g" + x] for c, x in zip(columns, names) if row["g" + x]})
     deviation = np.array([row["s" + c] or 0.0 for c in names])
     if len(columns) == 1:
         corr = np.ones((1, 1))
     else:
-        vectors = VectorAssembler(inputCols=names, outputCol="x", handleInvalid="skip").transform(plain).select("x")
+        vectors = VectorAssembler(inputCols=names, outputCol="x").transform(plain).select("x")
         corr = np.nan_to_num(Correlation.corr(vectors, "x").first()[0].toArray())
         np.fill_diagonal(corr, (deviation > 0).astype(float))
     return Gram(list(columns), np.array([row["m" + c] for c in names]), deviation, corr)

@@ -73,12 +73,12 @@ def _centre_search(df: DataFrame, layout: ce.Layout, id_col: str, score_on: list
                    gamma: float, seeds: list[int], k_min: int, k_max: int, k: int | None, dense: bool) -> Segmentation:
     """Choose k from one run per k, then the best of the seeded runs at that k."""
     spark = df.sparkSession
-    pool = ce.start_pool(df, layout, id_col)
+    pool = ce.start_pool(df, layout, id_col, gamma, k_max if k is None else k)
     rows = df if layout.numeric else ce.patterns(df, layout.codes)
 
     def fit(starts: dict[str, ce.Centres]) -> tuple[dict[str, ce.Centres], list[dict]]:
         fitted = dict(zip(starts, ce.fit(
-            rows, layout, dict(enumerate(starts.values())), tolerance=ce.rest_tolerance(pool, layout)).values()))
+            rows, layout, dict(enumerate(starts.values())), tolerance=pool.tolerance).values()))
         labelled = ce.assign(df, layout, fitted, scores=score_on is None).persist()
         on = score_on or [f"s{i}" for i in range(layout.axes.vectors.shape[1])]
         scored = _scored(labelled, on, fitted, {r: c.cost for r, c in fitted.items()})
@@ -98,13 +98,14 @@ def _centre_search(df: DataFrame, layout: ce.Layout, id_col: str, score_on: list
     model = fitted[best]
 
     def refit(train: DataFrame, target: DataFrame) -> DataFrame:
-        own_pool = ce.start_pool(train, layout, id_col)
+        own_pool = ce.start_pool(train, layout, id_col, gamma, model.k)
         again = ce.spread_starts(own_pool, layout, model.k, int(best[4:]), gamma)
-        new = ce.fit(train, layout, {0: again}, tolerance=ce.rest_tolerance(own_pool, layout))[0]
+        new = ce.fit(train, layout, {0: again}, tolerance=own_pool.tolerance)[0]
         return ce.assign(target, layout, {"predicted": new}).select(id_col, "predicted")
 
     labels = ce.assign(df, layout, {"cluster": model}).select(id_col, "cluster")
-    return Segmentation(algorithm, labels, layout.names, model, model.cost, int(best[4:]), runs, refit)
+    return Segmentation(algorithm, labels, layout.names, model, model.cost, int(best[4:]), runs, refit,
+                        None if model.settled else "Stopped by the number of iterations before the centres were at rest")
 
 
 def kmeans_pca(df: DataFrame, features: list[str], id_col: str = "id", mode: str = "eval", seeds: list[int] | None = None,
@@ -144,10 +145,12 @@ def k_family(encoded: DataFrame, numeric: list[str], codes: list[str], id_col: s
 
 
 def latent_classes(encoded: DataFrame, codes: list[str], numeric: list[str] | None = None, id_col: str = "id", ks=None,
-                   restarts: int = la.RESTARTS, max_iterations: int = 200) -> Segmentation:
-    """Latent classes of least BIC; without numeric columns fitted on distinct answer patterns."""
+                   restarts: int = la.RESTARTS, max_iterations: int = 200, subset: bool = False) -> Segmentation:
+    """Latent classes of least BIC; without numeric columns fitted on distinct answer patterns.
+
+    All columns are fitted; ``subset`` takes the random part that ``latent.wide_subset`` names beyond 100 of them."""
     numeric = numeric or []
-    if not numeric:
+    if subset and not numeric:
         codes = la.wide_subset(codes)
     rows = encoded if numeric else ce.patterns(encoded, codes)
     model, table = la.search_classes(rows, codes, numeric, ks, restarts, max_iterations)
@@ -168,7 +171,7 @@ def gaussian_mixture(encoded: DataFrame, features: list[str], id_col: str = "id"
     n = encoded.count()
     prior = mi.Prior(g.mean, g.correlation * np.outer(g.deviation, g.deviation) * n / max(n - 1, 1)
                      + mi.RIDGE * np.eye(len(features)))
-    pool = ce.start_pool(encoded, layout, id_col)
+    pool = ce.start_pool(encoded, layout, id_col, least=k_max)
     keys = [(k, s) for k in range(k_min, k_max) for s in seeds]
     starts = ce.fit(encoded, layout, {i: ce.spread_starts(pool, layout, k, s) for i, (k, s) in enumerate(keys)}, 10)
     fitted = mi.fit_mixtures(encoded, features, starts, prior)

@@ -66,11 +66,11 @@ def _by_run(stats: DataFrame) -> dict[str, dict[str, float]]:
 
 
 def _fit_grid(df, layout, ks, id_col, gamma=1.0, dense=False):
-    pool = ce.start_pool(df, layout, id_col)
+    pool = ce.start_pool(df, layout, id_col, gamma, max(ks))
     rows = df if layout.numeric else ce.patterns(df, layout.codes)
     starts = {i: ce.dense_starts(rows, layout, k, gamma) if dense and not layout.numeric
               else ce.spread_starts(pool, layout, k, 42, gamma) for i, k in enumerate(ks)}
-    fitted = ce.fit(rows, layout, starts, tolerance=ce.rest_tolerance(pool, layout))
+    fitted = ce.fit(rows, layout, starts, tolerance=pool.tolerance)
     return {f"k{k}": fitted[i] for i, k in enumerate(ks)}
 
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from panelcraft.functions.special import chi2_upper_tail, erfc
 from panelcraft.operators import cleaning, crosstab as ct, deliver as dv, lookups, metrics as mx
+from panelcraft.plans import segmentation
 from panelcraft.roles import (ColumnRoles, choose_family, columns_with_fragments, given_segment_columns, study_columns,
                               weight_column)
 
@@ -105,6 +106,18 @@ def test_decode_by_literal_and_by_join_agree(spark):
     assert a == b == [(1, "one", "x"), (2, "2", "why"), (3, None, "z")]
 
 
+@pytest.mark.parametrize("entries", [0, 6, 2500])
+def test_survey_is_decoded_with_a_book_of_any_size(spark, entries):
+    df = spark.createDataFrame([(1, "3", 5, "p"), (1, "2499", 6, "q"), (2, None, 5, "r")], "id long, q string, n long, cint_id string")
+    rows = [("q", f"text {i}", str(i)) for i in range(entries)] + [("q", "text 3 again", "3"), ("n", "five", "5")][:entries]
+    book = spark.createDataFrame(rows, "varname string, option_text string, option_value string")
+    got = sorted(map(tuple, segmentation.prepare(df, book).select("id", "q", "n", "cint_id").collect()), key=str)
+    far = "text 2499" if entries == 2500 else "2499"
+    few, five = ("text 3 again", "five") if entries else ("3", "5")
+    plain = [(i, q, str(n), c) for i, q, n, c in got]
+    assert plain[:2] == [(1, far, "6", "q"), (1, few, five, "p")] and plain[2][0] == 2 and plain[2][2] == five
+
+
 def test_names(spark):
     df = spark.createDataFrame([("1",) * 4], ["sbeh_a_fb", "dem_b_gg", "qudo_x", "age_numeric"])
     marked, chosen = cleaning.mark_targets(df, ["sbeh_a_fb"])

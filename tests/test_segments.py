@@ -242,3 +242,25 @@ def test_a_segment_without_findings_is_its_own_slice(spark):
     got = {r["cluster"]: r for r in core_slices(rows, {"a": [("q_tgt", "x")]}).collect()}
     assert (got["b"]["core"], got["b"]["n_slice"], got["b"]["n_slice_in"]) == ([], 20, 20)
     assert got["b"]["retained"] <= 0.15
+
+
+def test_starts_come_from_all_rows(spark):
+    """A far cluster of 30 among 30,000 rows is a start, however few of the smallest key hashes it holds."""
+    df = spark.range(30_000).select("id", F.when(F.col("id") % 1000 == 7, 1e4).otherwise(F.col("id") % 10).cast("double").alias("x"))
+    layout = ce.Layout(["x"], [])
+    pool = ce.start_pool(df, layout, "id")
+    assert pool.weight.sum() == 30_000 and 1e4 in pool.rows
+    assert pool.tolerance == pytest.approx(ce.TOLERANCE * df.agg(F.var_pop("x")).first()[0], rel=1e-6)
+    assert all(1e4 in ce.spread_starts(pool, layout, 2, seed).numeric for seed in range(5))
+    again = ce.start_pool(df.repartition(7), layout, "id")
+    assert (again.rows == pool.rows).all() and (again.weight == pool.weight).all()
+    few = ce.start_pool(df.withColumn("x", F.lit(2.0)), layout, "id", least=5)
+    assert len(few) == 1 and ce.start_pool(df.limit(0), layout, "id").rows.shape == (0, 1)
+
+
+def test_missing_numbers_are_refused(spark):
+    df = spark.createDataFrame([(i, None if i == 3 else float(i), float(i % 4)) for i in range(20)], "id long, a double, b double")
+    for work in (lambda: sg.kmeans(df, ["a", "b"], k=2, seeds=[1]), lambda: gram(df, ["a", "b"]),
+                 lambda: gr.nearest(df, 2, numeric=["a", "b"])):
+        with pytest.raises(ValueError, match=r"Missing values.*a \(1 rows\)"):
+            work()
