@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 #: Rows and characters an Arrow step works on at once; a single longer text is a slice of its own.
 SLICE_ROWS = 2_000
 SLICE_CHARS = 500_000
+#: Bytes of one Arrow batch of a filtering stage (or one row that is longer).
+BATCH_BYTES = 8 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -83,13 +85,18 @@ def remainder_column(col, modulus: int):
 
 
 def keep_rows(docs: DataFrame, keep: Callable[[list[str]], list[bool]], text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns as they are, whose text (null as empty) ``keep`` says stays."""
-    place = docs.columns.index(text_col)
+    """The rows of ``docs``, all columns as they are, whose text (null as empty) ``keep`` says stays.
 
-    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        return batch.filter(pa.array(keep(texts_of(batch.column(place))), pa.bool_()))
+    Only texts go to Python, BATCH_BYTES at once, and one bit for each comes back; the rows themselves stay in the JVM."""
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
-    return docs.mapInArrow(arrow_step(step, place), docs.schema)
+    def stays(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in batches:
+            parts = [pa.array(keep(texts_of(part.column(0))), pa.bool_())
+                     for part in slices(pa.RecordBatch.from_arrays([column], names=["text"]), 0)]
+            yield pa.concat_arrays(parts) if parts else pa.array([], pa.bool_())
+
+    return docs.where(F.arrow_udf(stays, "boolean")(F.col(f"`{text_col}`").cast("string")))
 
 
 def below_cut(limit: int, rows, key: str = "doc_id"):
