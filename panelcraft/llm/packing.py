@@ -1,6 +1,6 @@
 """Best-fit packing of documents into training sequences, after the plan of ``linear_grouping``.
 
-One step tokenizes and cuts (only documents longer than a sequence; all pieces but the last are full) and numbers the
+One step tokenizes and cuts (only documents longer than a sequence; all pieces but the first are full) and numbers the
 pieces of each length within its task. The histogram, at most one row for each length, gives the plan; a window over the
 tasks' counts turns the numbers into ranks among all pieces of a length; the rank finds its place in the plan. So texts
 are read once and never shuffled, and a length that most documents share is dealt like any other.
@@ -48,8 +48,10 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = No
                 rows = []
                 for doc, ids in zip(some.column(0).to_pylist(), encoder(tokenizer, CACHED_CHUNKS).encode(texts_of(some.column(1)))):
                     ids = ids + end
-                    for k, at in enumerate(range(0, len(ids), 4 * capacity)):
-                        own = ids[at:at + 4 * capacity]
+                    short = len(ids) % (4 * capacity)
+                    cuts = [*([0] if short else []), *range(short, len(ids), 4 * capacity)]
+                    for k, (at, to) in enumerate(zip(cuts, [*cuts[1:], len(ids)])):
+                        own = ids[at:to]
                         n = len(own) // 4
                         rows.append((doc, k, at // 4, n, zlib.crc32(own), part, seen[n]))
                         seen[n] += 1

@@ -108,3 +108,18 @@ def test_packing_of_odd_rows(odd):
     for items in by_sequence.values():
         assert sum(n for _, n in items) <= 1024
         assert [o for o, _ in sorted(items)] == [0, *np.cumsum([n for _, n in sorted(items)])[:-1].tolist()]
+
+
+def test_first_piece_of_a_long_document_is_the_short_one(documents):
+    texts = {1: "ab " * 1_500, 2: "one two three " * 700, 3: "short"}
+    rows = {i: [*plain_ids(t), 2] for i, t in texts.items()}
+    capacity = len(rows[1]) // 2 if len(rows[1]) % 2 == 0 else len(rows[1])  # row 1 has full pieces only
+    for size in (1024, capacity):
+        want = set()
+        for i, ids in rows.items():
+            first = len(ids) % size or size
+            starts = [0, *range(first, len(ids), size)]
+            want |= {(i, k, a, b - a, zlib.crc32(np.array(ids[a:b], "<u4").tobytes()))
+                     for k, (a, b) in enumerate(zip(starts, [*starts[1:], len(ids)]))}
+        got = packing.pack(documents(list(texts.items())), size).collect()
+        assert {(r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in got} == want and len(got) == len(want)
