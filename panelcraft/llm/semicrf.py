@@ -7,9 +7,10 @@ entities of a kind and single other tokens has the sum of its segments' weights;
 over segmentations, trained by its likelihood (forward and backward sums), and the best segmentation, found by dynamic
 programming bounded by the longest entity, chooses boundaries and kinds together.
 
-Teachers are the base spans of FIT_TEXTS texts at most (smallest hash of the id, whole texts), and the same places rewritten
-in the ways people hide such data. An entity is added where it overlaps no base span and outweighs the reading of the same
-tokens as ordinary ones by MARGIN.
+Teachers are drawn by kind from all rows: FIT_KIND regions for each kind of base span and FIT_PLAIN regions without one, those
+of smallest hash, FIT_EACH of a kind from one text at most, and each distinct region once; so no text, kind or repeated line
+crowds out another. The same places, rewritten in the ways people hide such data, teach too. An entity is added where it
+overlaps no base span and outweighs the reading of the same tokens as ordinary ones by MARGIN.
 
 Defined results: null texts are empty and have no spans; with nothing to learn from, only base spans are found; each row is
 read by itself, also where ids repeat.
@@ -18,22 +19,25 @@ read by itself, also where ids repeat.
 from __future__ import annotations
 
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterator
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_step, below_cut, id_text, texts_of
+from .common import arrow_step, id_text, shared_table, slices, texts_of
 from .pii_patterns import KINDS, base_spans, luhn
 
 MOST_TOKENS = 6
 MOST_CHARS = 96
 AROUND = 2
-FIT_TEXTS = 1_500
-FIT_REGIONS = 700
+FIT_KIND = 150
+FIT_PLAIN = 400
+FIT_EACH = 4
 FIT_TOKENS = 40
 EPOCHS = 5
 MARGIN = 1.0
@@ -189,38 +193,93 @@ def disguised(value: str, kind: int, turn: int) -> str:
             f"{digits[:3]}-{digits[3:6]}-{digits[6:]}"][turn % 5]
 
 
-def lessons(texts: list[str]) -> list[tuple[Lattice, dict[tuple[int, int], int]]]:
-    out: list = []
-    for turn, text in enumerate(texts):
-        spans = base_spans(text)
-        for tokens in regions(text):
-            if len(tokens) > FIT_TOKENS or len(out) >= 2 * FIT_REGIONS:
-                continue
+def stretches(tokens: Region, spans: list[tuple[int, int, int]]) -> Iterator[Region]:
+    """A region in stretches of FIT_TOKENS tokens at most, cut where no span goes on (a longer span makes none)."""
+    starts = [a for a, _ in tokens]
+    joined_on = {t for a, _, b in spans for t in range(bisect_right(starts, a), bisect_left(starts, b))}
+    at = 0
+    while at < len(tokens):
+        end = min(len(tokens), at + FIT_TOKENS)
+        while end < len(tokens) and end > at and end in joined_on:
+            end -= 1
+        if end > at:
+            yield tokens[at:end]
+        at = end if end > at else at + FIT_TOKENS
+
+
+def teachers(text: str) -> list[tuple[int, int, str, list[tuple[int, int, int]]]]:
+    """(kind or OTHER, hash, stretch, its spans): FIT_EACH of each kind at most, those of smallest hash."""
+    spans, found = base_spans(text), [{} for _ in range(OTHER + 1)]
+    starts = [a for a, _, _ in spans]
+    for region in regions(text):
+        held = spans[bisect_left(starts, region[0][0]):bisect_left(starts, region[-1][1])]
+        for tokens in stretches(region, held):
             low, high = tokens[0][0], tokens[-1][1]
-            inside = [(a - low, k, b - low) for a, k, b in spans if a >= low and b <= high]
-            part = text[low:high]
+            inside = [(a - low, k, b - low) for a, k, b in held[bisect_left(held, (low,)):bisect_left(held, (high,))] if b <= high]
             if any(x[2] > y[0] for x, y in zip(inside, inside[1:])):
                 continue  # overlapping kinds have no one segmentation
-            cases = [(part, inside)]
-            if inside:
-                made, at, moved = "", 0, []
-                for a, k, b in inside:
-                    made += part[at:a]
-                    new = disguised(part[a:b], k, turn + len(out))
-                    moved.append((len(made), k, len(made) + len(new)))
-                    made, at = made + new, b
-                cases.append((made + part[at:], moved))
-            for string, marks in cases:
-                bounds = [m.span() for m in TOKEN.finditer(string)]
-                segments = gold(string, bounds, marks)
-                if segments is not None and bounds:
-                    out.append((Lattice(string, bounds), segments))
+            part = text[low:high]
+            if inside and gold(part, [(a - low, b - low) for a, b in tokens], inside) is None:
+                continue
+            key = xxhash.xxh64_intdigest(part.encode("utf-8", "surrogatepass")) - (1 << 63)
+            for kind in {k for _, k, _ in inside} or {OTHER}:
+                found[kind][key] = (kind, key, part, inside)
+                if len(found[kind]) > FIT_EACH:
+                    del found[kind][max(found[kind])]
+    return [row for own in found for row in own.values()]
+
+
+class Drawn:
+    """Distinct stretches of smallest hash, by kind."""
+
+    def __init__(self):
+        self.kept = [{} for _ in range(OTHER + 1)]
+
+    def add(self, text: str) -> None:
+        for row in teachers(text):
+            own, limit = self.kept[row[0]], quota(row[0])
+            own[row[1]] = row
+            if len(own) > 2 * limit:
+                self.kept[row[0]] = {key: own[key] for key in sorted(own)[:limit]}
+
+    def rows(self) -> list[tuple[int, int, str, list[tuple[int, int, int]]]]:
+        return [own[key] for kind, own in enumerate(self.kept) for key in sorted(own)[:quota(kind)]]
+
+
+def quota(kind: int) -> int:
+    return FIT_PLAIN if kind == OTHER else FIT_KIND
+
+
+def lessons(drawn: list[tuple[str, list[tuple[int, int, int]]]]) -> list[tuple[Lattice, dict[tuple[int, int], int]]]:
+    out: list = []
+    for turn, (part, inside) in enumerate(drawn):
+        cases = [(part, inside)]
+        if inside:
+            made, at, moved = "", 0, []
+            for nth, (a, k, b) in enumerate(inside):
+                made += part[at:a]
+                new = disguised(part[a:b], k, turn + nth)
+                moved.append((len(made), k, len(made) + len(new)))
+                made, at = made + new, b
+            cases.append((made + part[at:], moved))
+        for string, marks in cases:
+            bounds = [m.span() for m in TOKEN.finditer(string)]
+            segments = gold(string, bounds, marks)
+            if segments is not None and bounds:
+                out.append((Lattice(string, bounds), segments))
     return out
 
 
 def train(texts: list[str]) -> np.ndarray | None:
-    """Weights by kind and feature."""
-    taught = lessons(texts)
+    """Weights by kind and feature, from teachers drawn of ``texts``."""
+    drawn = Drawn()
+    for text in texts:
+        drawn.add(text)
+    return learn(drawn.rows())
+
+
+def learn(rows: list[tuple[int, int, str, list[tuple[int, int, int]]]]) -> np.ndarray | None:
+    taught = lessons([*{key: (part, spans) for _, key, part, spans in rows}.values()])
     if not any(g for _, g in taught):
         return None
     weight, seen = np.zeros((OTHER + 1, BUCKETS)), np.full((OTHER + 1, BUCKETS), 1e-6)
@@ -246,10 +305,29 @@ def train(texts: list[str]) -> np.ndarray | None:
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> np.ndarray | None:
-    found = id_text(docs, id_col, text_col).where(F.col("text").rlike(TRIGGER_SQL))
-    rows = found.where(below_cut(FIT_TEXTS, max(1, found.count()))) \
-        .orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(FIT_TEXTS).collect()
-    return train([r["text"] for r in rows])
+    """Weights from teachers drawn of all rows; a task gives its smallest hashes of each kind, so their table stays small."""
+    schema = pa.schema([("kind", pa.int32()), ("key", pa.int64()), ("part", pa.string()), ("spans", pa.list_(pa.int32()))])
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drawn = Drawn()
+        for batch in batches:
+            for some in slices(batch, 1):
+                for text in texts_of(some.column(1)):
+                    drawn.add(text)
+        rows = [(kind, key, part, [x for span in spans for x in span]) for kind, key, part, spans in drawn.rows()]
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
+
+    found = id_text(docs, id_col, text_col).where(F.col("text").rlike(TRIGGER_SQL)) \
+        .mapInArrow(draw, "kind int, key long, part string, spans array<int>")
+    found = shared_table(found, "teachers").dropDuplicates(["kind", "key"])
+    sizes = {r["kind"]: r["count"] for r in found.groupBy("kind").count().collect()}  # a row for each kind
+    rows = []
+    for kind, n in sorted(sizes.items()):
+        # The smallest keys of a kind; what is sorted is cut first to about twice as many.
+        cut = F.col("key") / 2.0 ** 64 + 0.5 <= (2.0 * quota(kind) + 50) / n
+        rows += found.where((F.col("kind") == kind) & cut).orderBy("key").limit(quota(kind)).collect()
+    return learn([(r["kind"], r["key"], r["part"], [(*r["spans"][i:i + 3],) for i in range(0, len(r["spans"]), 3)]) for r in rows])
 
 
 def added_spans(text: str, weight: np.ndarray | None, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:

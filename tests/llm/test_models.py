@@ -128,3 +128,29 @@ def test_windows_network_learns_both_sides(spark):
     code = coder.code(text)
     want = sum(pseudo_likelihood.log_probabilities(weights, np.array([code[i - 1] << 8 | code[i + 1]]))[0, code[i]] for i in range(1, len(code) - 1))
     assert got[0]["log_prob"] == pytest.approx(want, abs=1e-3)
+
+
+def entity_texts():
+    rng = np.random.default_rng(6)
+    names, hosts = ["ann", "bob.k", "eve", "max.d", "zoe"], ["mail.org", "post.example.org", "a.b.example.net", "site.com"]
+    cards = ["4111 1111 1111 1111", "5500-0000-0000-0004", "340000000000009", "6011000000000004"]
+    out = []
+    for k in range(240):
+        kind, n = k % 4, rng.integers(1, 250, 4)
+        value = [f"{names[k // 4 % 5]}{k}@{hosts[k // 4 % 4]}", ".".join(map(str, n)), cards[k // 4 % 4], f"+1 {200 + k} 555 {1000 + k}"][kind]
+        out.append(f"please note that {value} belongs to the entry number {k} of our long list of people")
+    return out
+
+
+def test_plain_numbers_crowd_out_no_kind(spark):
+    rng = np.random.default_rng(8)
+    long = " ".join(f"in the year {n} there were many more people" for n in rng.integers(0, 10 ** 6, 5_000))
+    plain = [f"on day {k} of the long month nothing else was written" for k in range(1_500)]
+    texts = [long, *plain, *entity_texts()]
+    assert {kind for kind, *_ in semicrf.teachers(long)} == {semicrf.OTHER} and len(semicrf.teachers(long)) <= semicrf.FIT_EACH
+    docs = spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string").repartition(3)
+    for weight in (semicrf.train(texts), semicrf.fit(docs)):
+        for value, kind in (("4111.1111.1111.1111", 2), ("ann[at]mail[dot]org", 0), ("10[.]20[.]30[.]40", 1)):
+            text = f"please note that {value} belongs to the entry"
+            assert [(text[a:b], k) for a, k, b in semicrf.added_spans(text, weight, [])] == [(value, kind)]
+    assert np.array_equal(semicrf.fit(docs), semicrf.fit(docs.repartition(5)))
