@@ -1,11 +1,11 @@
 """Personal data by a semi-Markov conditional random field beside the base patterns.
 
 A text is cut into regions around tokens with a digit, an @ or a written-out at or dot (elsewhere no candidate exists, so
-the best path is known). In a region every stretch of up to MOST_TOKENS tokens is a candidate, described as a whole: its
+the best path is known). In a region every stretch of up to MOST_CHARS characters is a candidate, described as a whole: its
 shape, number of digits, separators, checks, first and last characters, the words before and after it. A segmentation into
 entities of a kind and single other tokens has the sum of its segments' weights; the model is the normalised distribution
 over segmentations, trained by its likelihood (forward and backward sums), and the best segmentation, found by dynamic
-programming bounded by the longest entity, chooses boundaries and kinds together.
+programming bounded by the longest entity, chooses boundaries and kinds together. Long regions are read BLOCK tokens at once.
 
 Teachers are drawn by kind from all rows: FIT_KIND regions for each kind of base span and FIT_PLAIN regions without one, those
 of smallest hash, FIT_EACH of a kind from one text at most, and each distinct region once; so no text, kind or repeated line
@@ -32,8 +32,10 @@ from pyspark.sql import functions as F
 from .common import arrow_step, id_text, shared_table, slices, texts_of
 from .pii_patterns import KINDS, base_spans, luhn
 
-MOST_TOKENS = 6
 MOST_CHARS = 96
+#: As many tokens as MOST_CHARS characters can hold, so that this is no bound of its own.
+MOST_TOKENS = (MOST_CHARS + 1) // 2
+BLOCK = 512
 AROUND = 2
 FIT_KIND = 150
 FIT_PLAIN = 400
@@ -110,18 +112,24 @@ def span_features(text: str, tokens: Region, i: int, j: int) -> list[int]:
 
 
 class Lattice:
-    """Candidate segments of a region with their features."""
+    """Candidate segments of a region with their features: those that begin at the tokens ``first`` to ``last``."""
 
-    def __init__(self, text: str, tokens: Region):
+    def __init__(self, text: str, tokens: Region, first: int = 0, last: int | None = None):
         self.n, self.segments = len(tokens), []
-        hot = [bool(TRIGGER.search(text[a:b])) for a, b in tokens]
+        last = self.n if last is None else last
+        hot = [bool(TRIGGER.search(text[a:b])) for a, b in tokens[first:last + MOST_TOKENS]]
         rows = []
-        for i in range(self.n):
+        for i in range(first, last):
+            any_hot = False
             for j in range(i + 1, min(self.n, i + MOST_TOKENS) + 1):
-                entity = any(hot[i:j]) and tokens[j - 1][1] - tokens[i][0] <= MOST_CHARS
+                short = tokens[j - 1][1] - tokens[i][0] <= MOST_CHARS
+                if not short and j > i + 1:
+                    break
+                any_hot = any_hot or hot[j - 1 - first]
+                entity = any_hot and short
                 if entity or j == i + 1:
                     self.segments.append((i, j, entity))
-                    rows.append(span_features(text, tokens, i, j) if tokens[j - 1][1] - tokens[i][0] <= MOST_CHARS else [bucket("long")] * 14)
+                    rows.append(span_features(text, tokens, i, j) if short else [bucket("long")] * 14)
         self.index = np.array(rows)
 
     def scores(self, weight: np.ndarray) -> np.ndarray:
@@ -133,19 +141,6 @@ class Lattice:
         out[~entity, :OTHER] = -np.inf
         return out
 
-    def best(self, scores: np.ndarray) -> list[tuple[int, int, int]]:
-        """Segments (i, j, kind) of the best segmentation."""
-        value, back = [0.0] + [-np.inf] * self.n, [None] * (self.n + 1)
-        top, kind = scores.max(axis=1), scores.argmax(axis=1)
-        for k, (i, j, _) in enumerate(self.segments):
-            if value[i] + top[k] > value[j]:
-                value[j], back[j] = value[i] + top[k], (i, j, int(kind[k]))
-        out, at = [], self.n
-        while at:
-            out.append(back[at])
-            at = back[at][0]
-        return out[::-1]
-
     def expected(self, scores: np.ndarray) -> np.ndarray:
         """Probability of each segment and kind under the model."""
         with np.errstate(divide="ignore"):
@@ -161,6 +156,27 @@ class Lattice:
         return np.exp(scores + ends.sum(axis=1)[:, None] - ahead[self.n])
 
 
+def best(text: str, tokens: Region, weight: np.ndarray) -> list[tuple[int, int, int, float]]:
+    """Segments (i, j, kind) of the best segmentation, with what each outweighs its tokens as ordinary ones by."""
+    n = len(tokens)
+    value, back, plain = [0.0] + [-np.inf] * n, [None] * (n + 1), [0.0] * n
+    for first in range(0, n, BLOCK):
+        lattice = Lattice(text, tokens, first, min(n, first + BLOCK))
+        scores = lattice.scores(weight)
+        top, kind = scores.max(axis=1).tolist(), scores.argmax(axis=1).tolist()
+        for k, (i, j, _) in enumerate(lattice.segments):  # in order of i
+            if j == i + 1:
+                plain[i] = scores[k, OTHER]
+            if value[i] + top[k] > value[j]:
+                value[j], back[j] = value[i] + top[k], (i, j, kind[k], top[k])
+    out, at = [], n
+    while at:
+        i, j, kind, own = back[at]
+        out.append((i, j, kind, own - sum(plain[i:j])))
+        at = i
+    return out[::-1]
+
+
 def gold(text: str, tokens: Region, spans: list[tuple[int, int, int]]) -> dict[tuple[int, int], int] | None:
     """Segments of the given spans; None where one has no segment."""
     out, used = {}, set()
@@ -335,12 +351,8 @@ def added_spans(text: str, weight: np.ndarray | None, base: list[tuple[int, int,
         return []
     out = []
     for tokens in regions(text):
-        lattice = Lattice(text, tokens)
-        scores = lattice.scores(weight)
-        single = {i: scores[s, OTHER] for s, (i, j, _) in enumerate(lattice.segments) if j == i + 1}
-        place = {(i, j): s for s, (i, j, _) in enumerate(lattice.segments)}
-        for i, j, kind in lattice.best(scores):
-            if kind != OTHER and scores[place[i, j], kind] - sum(single[t] for t in range(i, j)) >= MARGIN:
+        for i, j, kind, gain in best(text, tokens, weight):
+            if kind != OTHER and gain >= MARGIN:
                 a, b = trimmed(text, tokens, i, j)
                 if not any(x < b and y > a for x, _, y in base):
                     out.append((a, kind, b))

@@ -154,3 +154,19 @@ def test_plain_numbers_crowd_out_no_kind(spark):
             text = f"please note that {value} belongs to the entry"
             assert [(text[a:b], k) for a, k, b in semicrf.added_spans(text, weight, [])] == [(value, kind)]
     assert np.array_equal(semicrf.fit(docs), semicrf.fit(docs.repartition(5)))
+
+
+def test_disguises_of_many_tokens_are_found_whole():
+    weight = semicrf.train(entity_texts())
+    for value in ("ann [at] mail [dot] example [dot] org", "bob.k [at] post [dot] a [dot] example [dot] net"):
+        text = f"please note that {value} belongs to the entry"
+        assert [(text[a:b], k) for a, k, b in semicrf.added_spans(text, weight, [])] == [(value, 0)]
+    digits = " ".join(f"{d}," for d in "4111111111111111")
+    bounds = [m.span() for m in semicrf.TOKEN.finditer(digits)]
+    assert (0, 16, True) in semicrf.Lattice(digits, bounds).segments
+    assert semicrf.gold(digits, bounds, [(0, 2, len(digits))]) == {(0, 16): 2}
+    long = " ".join(str(k % 97) for k in range(2_000))
+    tokens = semicrf.regions(long)[0]
+    whole = semicrf.Lattice(long, tokens)
+    parts = [semicrf.Lattice(long, tokens, a, min(2_000, a + semicrf.BLOCK)).segments for a in range(0, 2_000, semicrf.BLOCK)]
+    assert whole.segments == [x for own in parts for x in own]
