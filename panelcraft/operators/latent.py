@@ -35,6 +35,7 @@ class Classes:
     variance: np.ndarray
     log_likelihood: float = float("-inf")
     iterations: int = 0
+    settled: bool = True
 
     @property
     def k(self) -> int:
@@ -166,6 +167,8 @@ def fit_classes(rows: DataFrame, codes: list[str], numeric: list[str], starts: d
         if not live:
             break
     held.unpersist()
+    for model in live.values():
+        model.settled = False
     return dict(sorted({**done, **live}.items()))
 
 

@@ -6,6 +6,8 @@ need only the cross products of features and embedding, p x p numbers from one p
 
 from __future__ import annotations
 
+import warnings
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -77,6 +79,8 @@ def embedding(graph: DataFrame, n_vectors: int, rounds: int = 12, tolerance: flo
         if last is not None and np.abs(top - last).max() < tolerance:
             break
         last = top
+    else:
+        warnings.warn(f"MCFS: {rounds} rounds ended before the embedding was at rest", stacklevel=2)
     edges.unpersist()
     kept = [F.col("y")[i] / F.sqrt("d") for i in range(1, n_vectors + 1)]
     return y.join(degree, "id").select("id", F.array(*kept).alias("y")), 2 * top - 1

@@ -155,7 +155,8 @@ def latent_classes(encoded: DataFrame, codes: list[str], numeric: list[str] | No
     rows = encoded if numeric else ce.patterns(encoded, codes)
     model, table = la.search_classes(rows, codes, numeric, ks, restarts, max_iterations)
     labels = la.class_labels(encoded, codes, numeric, model).select(id_col, "cluster")
-    return Segmentation("Mixed LCA" if numeric else "LCA", labels, [*codes, *numeric], model, runs=table)
+    return Segmentation("Mixed LCA" if numeric else "LCA", labels, [*codes, *numeric], model, runs=table,
+                        note=None if model.settled else "Stopped by the number of iterations before the classes were at rest")
 
 
 def gaussian_mixture(encoded: DataFrame, features: list[str], id_col: str = "id", seeds: list[int] | None = None,

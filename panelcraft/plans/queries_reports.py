@@ -42,18 +42,18 @@ def m12(spark, sf):
 @query("c06_kmeans_report")
 def c06(spark, sf):
     coded = _all_encoded(spark, sf)
-    seg = sg.kmeans_pca(coded, FEATURES, seeds=sg.SEEDS[:3])
+    seg = sg.kmeans_pca(coded, FEATURES)
     return rp.report(responses(spark, sf).drop("cluster"), coded, ROLES, seg, FEATURES).metrics
 
 
 @query("c18_run_all")
 def c18(spark, sf):
     coded = _all_encoded(spark, sf)
-    fast = {"seeds": sg.SEEDS[:2], "k_min": 3, "k_max": 5}
     methods = {
-        "kmeans": lambda: sg.kmeans_pca(coded, FEATURES, **fast),
-        "k-family": lambda: sg.k_family(coded, [], CODED, **fast),
-        "lca": lambda: sg.latent_classes(coded, CODED, ks=[3], restarts=2, max_iterations=50)}
+        "kmeans": lambda: sg.kmeans_pca(coded, FEATURES),
+        "k-family": lambda: sg.k_family(coded, [], CODED),
+        "lca": lambda: sg.latent_classes(coded, CODED),
+        "mixture": lambda: sg.gaussian_mixture(coded, FEATURES)}
     people = responses(spark, sf).withColumnRenamed("cluster", "qudo_cluster")
     roles = ColumnRoles("id", None, QUESTIONS, NUMERICS)
     return rp.metrics_table(rp.run_all(people, coded, roles, methods, CODED, ["qudo_cluster"]))

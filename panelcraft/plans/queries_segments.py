@@ -166,7 +166,7 @@ def c09_full(spark, sf):
 
 @query("c11_gaussian_mixture")
 def c11(spark, sf):
-    found = sg.gaussian_mixture(encoded(spark, sf), [*CODED, *TWO], seeds=sg.SEEDS[:3])
+    found = sg.gaussian_mixture(encoded(spark, sf), [*CODED, *TWO])
     rows = [(r["run"], r["n_clusters"], r["log_likelihood"], r["bic"], r["aic"]) for r in found.runs]
     return spark.createDataFrame(rows, "run string, n_clusters int, log_likelihood double, bic double, aic double")
 
@@ -214,12 +214,12 @@ def c14_step(spark, sf):
 
 @query("c14_lca")
 def c14(spark, sf):
-    return sg.latent_classes(encoded(spark, sf), CODED, restarts=5).labels
+    return sg.latent_classes(encoded(spark, sf), CODED).labels
 
 
 @query("c15_mixed_lca")
 def c15(spark, sf):
-    return sg.latent_classes(encoded(spark, sf), CODED, TWO, restarts=1, max_iterations=60).labels
+    return sg.latent_classes(encoded(spark, sf), CODED, TWO).labels
 
 
 @query("c17_hierarchical_offsets", """SELECT branch, CAST(local AS INTEGER) AS local, CAST(CASE WHEN branch = 'BUILDING' THEN -99
@@ -237,11 +237,11 @@ def c17(spark, sf):
 def c17_full(spark, sf):
     rows = encoded(spark, sf)
     features = [*CODED, *NUMERICS]
-    return sg.hierarchical(rows, "cluster", lambda part: sg.kmeans_pca(part, features, seeds=sg.SEEDS[:3], k_min=2, k_max=3)).labels
+    return sg.hierarchical(rows, "cluster", lambda part: sg.kmeans_pca(part, features)).labels
 
 
 @query("k08_consistency")
 def k08(spark, sf):
     rows = encoded(spark, sf)
-    found = sg.kmeans_pca(rows, [*CODED, *NUMERICS], mode="tune", seeds=sg.SEEDS[:3])
+    found = sg.kmeans_pca(rows, [*CODED, *NUMERICS], mode="tune")
     return spark.createDataFrame(list(sg.consistency(rows, found).items()), "metric string, value double")

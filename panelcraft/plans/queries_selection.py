@@ -129,20 +129,20 @@ FEATURES = [*CODED, *NUMERICS]
 @query("g10_mcfs")
 def g10(spark, sf):
     rows = encoded(spark, sf)
-    return mcfs(rows, gr.affinity(rows, K, codes=CODED), CODED, 3, 4, rounds=4)
+    return mcfs(rows, gr.affinity(rows, K, codes=CODED), CODED, 3, 4)
 
 
 @query("g08_optimal_neighbours")
 def g08(spark, sf):
     rows = encoded(spark, sf).persist()
-    best, tried = sl.optimal_laplacian(rows, CODED, 5, 15, n_cols=4, seeds=[1, 42], k_min=3, k_max=5)
+    best, tried = sl.optimal_laplacian(rows, CODED)
     return sl.quality_table(spark, tried).withColumn("is_best", F.col("n_neighbours") == best["n_neighbours"]).drop("cols")
 
 
 @query("g09_laplacian_only")
 def g09(spark, sf):
     people = responses(spark, sf).select("id", *[c for c in CODED if "sbeh" in c])
-    chosen = sl.rank_features_laplacian(people, seeds=[1], k_min=3, k_max=5)
+    chosen = sl.rank_features_laplacian(people)
     return spark.createDataFrame([(c,) for c in chosen], "feature string")
 
 
@@ -198,6 +198,6 @@ def g17(spark, sf):
 @query("g18_subsample")
 def g18(spark, sf):
     rows = encoded(spark, sf).persist()
-    found = sl.subsample_study(rows, CODED, [0.5, 1.0], min_neighbours=5, max_neighbours=5, n_cols=4, seeds=[1], k_min=3, k_max=5)
+    found = sl.subsample_study(rows, CODED, [0.5, 1.0])
     return spark.createDataFrame([(f["share"], f["n_neighbours"], f["n_clusters"], f["silhouette"]) for f in found],
                                  "share double, n_neighbours int, n_clusters int, silhouette double")

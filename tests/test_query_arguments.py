@@ -1,0 +1,50 @@
+"""Queries of searches run the operators with their own seeds, restarts, ranges and rounds."""
+
+from unittest.mock import MagicMock
+
+import pytest
+
+from panelcraft.operators import segment as sg, selection as sl
+from panelcraft.plans import catalog, queries_reports, queries_segments, queries_selection, report as rp
+
+CUTS = {"seeds", "k_min", "k_max", "ks", "restarts", "max_iterations", "rounds", "n_cols", "min_neighbours", "max_neighbours"}
+CALLS = {"c11_gaussian_mixture": ["gaussian_mixture"], "c14_lca": ["latent_classes"], "c15_mixed_lca": ["latent_classes"],
+         "c17_hierarchical_kmeans": ["kmeans_pca"], "k08_consistency": ["kmeans_pca"], "c06_kmeans_report": ["kmeans_pca"],
+         "c18_run_all": ["kmeans_pca", "k_family", "latent_classes", "gaussian_mixture"], "g08_optimal_neighbours": ["optimal_laplacian"],
+         "g09_laplacian_only": ["rank_features_laplacian"], "g10_mcfs": ["mcfs"], "g18_subsample": ["subsample_study"]}
+PLACED = {"optimal_laplacian": 2, "mcfs": 5, "kmeans_pca": 2, "gaussian_mixture": 2, "subsample_study": 3}
+
+
+@pytest.mark.parametrize("name", sorted(CALLS))
+def test_whole_searches(monkeypatch, spark, name):
+    for module in (queries_reports, queries_segments, queries_selection):
+        for part in ("encoded", "responses"):
+            monkeypatch.setattr(module, part, MagicMock(), raising=False)
+    stand_ins = {n: MagicMock() for n in sum(CALLS.values(), [])}
+    stand_ins["optimal_laplacian"].return_value = ({"n_neighbours": 5}, [])
+    for n, stand_in in stand_ins.items():
+        for module in (sg, sl):
+            if hasattr(module, n):
+                monkeypatch.setattr(module, n, stand_in)
+    monkeypatch.setattr(queries_selection, "mcfs", stand_ins["mcfs"])
+    monkeypatch.setattr(queries_selection, "gr", MagicMock())
+    monkeypatch.setattr(sl, "quality_table", MagicMock())
+    monkeypatch.setattr(sg, "consistency", MagicMock())
+    monkeypatch.setattr(sg, "hierarchical", lambda rows, column, method: method(rows))
+    monkeypatch.setattr(rp, "report", MagicMock())
+    monkeypatch.setattr(rp, "metrics_table", MagicMock())
+    monkeypatch.setattr(rp, "run_all", lambda people, coded, roles, methods, *rest: [m() for m in methods.values()])
+    try:
+        catalog.queries()[name](MagicMock(), "")
+    finally:
+        for n in CALLS[name]:
+            args, kwargs = stand_ins[n].call_args
+            assert not CUTS & {*kwargs} and len(args) <= PLACED.get(n, 9)
+
+
+def test_unsettled_latent_classes_say_so(spark):
+    rows = spark.createDataFrame([(i, i % 2, i % 3, i * 7 % 5) for i in range(60)], "id long, a int, b int, c int")
+    short = sg.latent_classes(rows, ["a", "b", "c"], ks=[2], restarts=1, max_iterations=1)
+    assert not short.model.settled and "Stopped" in short.note
+    whole = sg.latent_classes(rows, ["a", "b", "c"], ks=[1], restarts=1)
+    assert whole.model.settled and whole.note is None
