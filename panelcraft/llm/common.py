@@ -107,3 +107,25 @@ def below_cut(limit: int, rows, key: str = "doc_id"):
     """
     rows = rows if isinstance(rows, Column) else F.lit(rows)
     return F.xxhash64(key).cast("double") / 2.0 ** 64 + 0.5 <= (2.0 * limit + 50) / rows
+
+
+#: A group of more than 1 / HOT_SHARE of all rows is hot, so there are fewer than HOT_SHARE hot groups in any table.
+HOT_SHARE = 1_000
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, key: str, total: int) -> DataFrame:
+    """``rows`` left-joined with ``groups`` (``key`` not null, row count ``n``, and further columns) without a hot key.
+
+    Groups of more than ``total / HOT_SHARE`` rows are broadcast: as their rows add up to ``total`` at most, they are fewer than
+    HOT_SHARE. Rows of the others are shuffled by the key; those that a hot group has answered are spread by their number.
+    """
+    values = [c for c in groups.columns if c not in (key, "n")]
+    hot = groups.where(F.col("n") > total / HOT_SHARE).select(F.col(key).alias("_hot"), F.struct("n", *values).alias("_of_hot"))
+    cold = groups.where(F.col("n") <= total / HOT_SHARE).select(F.col(key).alias("_cold"), F.struct("n", *values).alias("_of_cold"))
+    met = rows.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left")
+    where = F.when(F.col("_hot").isNull(), F.concat(F.lit("k"), F.col(key).cast("string"))) \
+        .otherwise(F.concat(F.lit("r"), F.monotonically_increasing_id().cast("string")))
+    joined = met.withColumn("_where", where).join(
+        cold.withColumn("_where", F.concat(F.lit("k"), F.col("_cold").cast("string"))), "_where", "left")
+    found = F.coalesce("_of_hot", "_of_cold")
+    return joined.select(*rows.columns, *[found[c].alias(c) for c in ("n", *values)])

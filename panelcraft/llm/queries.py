@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (embed_tiles, langid_kn, neighbours_in_order, packing, pseudo_likelihood, rank_queue_bpe, semicrf,
-               simhash_gray, ssk_svm, token_planes)
+from . import (embed_tiles, fill_in_middle, hilbert_blocks, langid_kn, neighbours_in_order, packing, pseudo_likelihood,
+               rank_queue_bpe, semicrf, simhash_gray, ssk_svm, token_planes, warc)
 from .common import remainder_column, shared_folder
 
 
@@ -66,7 +66,23 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid_kn.identify(docs, model).select("doc_id", held_out, "lang_pred", "score", "accepted")
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import uuid
+
+    path = f"{shared_folder(spark)}/corpus-{uuid.uuid4().hex}/warc"
+    return warc.digest(spark.read.parquet(f"{sf_dir}/pages.parquet"), path)
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert_blocks.digest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.digest(documents(spark, sf_dir))
+
+
 QUERIES = {"op1_personal_data": op1_personal_data, "op8_pseudo_likelihood": op8_pseudo_likelihood, "op3_toxicity": op3_toxicity, "op10_language": op10_language,
            "op2_token_planes": op2_token_planes, "op4_packing": op4_packing, "op5_simhash_groups": op5_simhash_groups,
-           "op6_fingerprints": op6_fingerprints, "op7_byte_bpe": op7_byte_bpe, "op9_embedding_links": op9_embedding_links}
-ORACLES: dict[str, str] = {}
+           "op6_fingerprints": op6_fingerprints, "op7_byte_bpe": op7_byte_bpe, "op9_embedding_links": op9_embedding_links,
+           "op11_warc": op11_warc, "op12_vector_codes": op12_vector_codes, "op13_fill_in_middle": op13_fill_in_middle}
+ORACLES: dict[str, str] = {"op11_warc": warc.SQL, "op12_vector_codes": hilbert_blocks.SQL, "op13_fill_in_middle": fill_in_middle.SQL}
