@@ -41,6 +41,8 @@ from .common import join_groups, shared_table, slices
 MAGIC = b"\x1f\x8b\x08"
 #: Bytes of a range, of one read, and of one inflated piece.
 SPLIT_BYTES, READ_BYTES, PIECE_BYTES = 32 << 20, 1 << 20, 1 << 20
+#: Tasks that ranges are dealt to; more ranges share tasks.
+MOST_TASKS = 20_000
 #: A header block beyond this is no WARC header.
 MOST_HEADER = 1 << 20
 DATE = "1970-01-01T00:00:00Z"
@@ -227,6 +229,11 @@ def walk(source: _Bytes, place: int | None, stop: int, take=None) -> Iterator[tu
         place = scan(source, ends[0] if ends else place + 1, stop)
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Ranges dealt one by one: a row of a few bytes stands for much work, so partitions are counted, not left to row sizes."""
+    return rows.repartition(max(1, min(rows.count(), MOST_TASKS)))
+
+
 def chain(table: DataFrame) -> DataFrame:
     """path, start, stop, first, after: where the first record owned by a range starts, and where its last one ends.
 
@@ -246,18 +253,14 @@ def chain(table: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_pylist([{"path": row["path"], "start": start, "stop": stop, "first": first, "after": after}],
                                                  pa.schema([("path", pa.string()), *[(c, pa.int64()) for c in ("start", "stop", "first", "after")]]))
 
-    def spread(rows: DataFrame) -> DataFrame:
-        """A range is little data and much work: dealt one by one."""
-        return rows.repartition(F.xxhash64("path", "start"))
-
     before = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
-    known = shared_table(spread(table.withColumn("expected", F.lit(None).cast("long"))).mapInArrow(ends, ddl), "chain")
+    known = shared_table(_dealt(table.withColumn("expected", F.lit(None).cast("long"))).mapInArrow(ends, ddl), "chain")
     while True:
         checked = known.withColumn("came", F.max("after").over(before))
         wrong = checked.where("came > start AND (first < came)")
         if wrong.isEmpty():
             return known
-        again = shared_table(spread(wrong.select("path", "start", "stop", F.col("came").alias("expected"))).mapInArrow(ends, ddl), "again")
+        again = shared_table(_dealt(wrong.select("path", "start", "stop", F.col("came").alias("expected"))).mapInArrow(ends, ddl), "again")
         known = shared_table(known.join(again.select("path", "start"), ["path", "start"], "left_anti").unionByName(again), "chain")
 
 
@@ -340,7 +343,7 @@ def read(spark: SparkSession, path: str, payload: bool = True, split_bytes: int
                     yield pa.RecordBatch.from_pylist(out, RECORDS)
 
     owned = chain(ranges(spark, path, split_bytes)).where("first IS NOT NULL").select("path", "start", "stop", "first")
-    return owned.repartition(F.xxhash64("path", "start")).mapInArrow(records, RECORDS_DDL)
+    return _dealt(owned).mapInArrow(records, RECORDS_DDL)
 
 
 def digest(pages: DataFrame, path: str) -> DataFrame:
