@@ -12,15 +12,16 @@ from pyspark.sql import functions as F
 from ..functions.sampling import unit_hash
 from ..roles import numeric_and_categorical
 from . import centres as ce
+from . import joint_fit as joint
 from . import latent as la
 from . import mixture as mi
 from . import quality as ql
-from .reduce import VARIANCE_SHARE, Axes, famd_matrix, gram
+from . import search as se
+from .batch import add_columns
+from .joint_fit import IGNORED_LABEL
+from .reduce import famd_matrix, gram
+from .search import K_MAX, K_MIN, SEEDS
 
-# Seeds and the range of k (the upper end is not tried).
-SEEDS = [1, 42, 100, 200, 404, 500, 1000, 123, 321, 78]
-K_MIN, K_MAX = 3, 9
-IGNORED_LABEL = -99
 HOLD_OUT = 0.1
 
 
@@ -108,14 +109,62 @@ def _centre_search(df: DataFrame, layout: ce.Layout, id_col: str, score_on: list
                         None if model.settled else "Stopped by the number of iterations before the centres were at rest")
 
 
+def _found(df: DataFrame, search: se.Search, id_col: str, refit: Callable[[], se.Search] | None = None) -> Segmentation:
+    """What a finished search chose. ``refit`` makes a search for the same model alone, to be fitted on other rows."""
+    if search.model is None:
+        return Segmentation(search.algorithm, None, search.columns, runs=search.runs, note=search.note)
+
+    def again(train: DataFrame, target: DataFrame) -> DataFrame:
+        own = refit()
+        joint.fit_together(train, {"again": own}, id_col)
+        return _labelled(target, own, id_col, "predicted")
+
+    return Segmentation(search.algorithm, _labelled(df, search, id_col, "cluster"), search.columns, search.model, search.cost,
+                        search.seed, search.runs, again if refit else None, search.note)
+
+
+def _labelled(df: DataFrame, search: se.Search, id_col: str, name: str) -> DataFrame:
+    made = add_columns(df.select(id_col, *[c for c in search.columns if c != id_col]), search.columns, {name: "int"},
+                       lambda v: [search.label(v)])
+    return made.select(id_col, name)
+
+
+def _refit(search: se.Search) -> Callable[[], se.Search] | None:
+    model = search.model
+    if model is None or isinstance(search, se.ClassSearch):
+        return None
+    if isinstance(search, se.MixtureSearch):
+        features, k, seed = search.numeric, model.k, search.seed
+        return lambda: se.MixtureSearch(features, [seed], k, k + 1, any_balance=True)
+    numeric, codes, share, dense, k, seed = search.numeric, search.codes, search.share, search.dense, model.k, search.seed
+    dense = dense and seed == search.seeds[0]
+    return lambda: se.CentreSearch(numeric, codes, share, dense, [seed], k=k, any_balance=True)
+
+
+def search_all(df: DataFrame, searches: dict[str, se.Search], id_col: str = "id", go_on: bool = False) -> dict[str, Segmentation]:
+    """Segmentations of several methods, whose searches share every pass over the rows."""
+    done = joint.fit_together(df, searches, id_col, go_on=go_on)
+    return {name: _found(df, s, id_col, _refit(s)) for name, s in done.items()}
+
+
+def search_branches(df: DataFrame, column: str, searches: Callable[[], dict[str, se.Search]], id_col: str = "id",
+                    ignored: list | None = None) -> dict[str, Segmentation]:
+    """Every method inside every value of ``column``: labels run on from branch to branch, ``model`` is a table of what was
+    chosen in each branch, and the values of the column stay in Spark."""
+    fitted = joint.fit_branches(df, column, searches, id_col)
+    about = fitted.summaries()
+    return {name: Segmentation(f"Hierarchical {s.algorithm} using {column}",
+                               fitted.labels(name, ignored).withColumnRenamed("id", id_col), s.columns,
+                               about.where(F.col("method") == name).drop("method"))
+            for name, s in searches().items()}
+
+
 def kmeans_pca(df: DataFrame, features: list[str], id_col: str = "id", mode: str = "eval", seeds: list[int] | None = None,
-               k_min: int = K_MIN, k_max: int = K_MAX, k: int | None = None, axes: Axes | None = None) -> Segmentation:
+               k_min: int = K_MIN, k_max: int = K_MAX, k: int | None = None) -> Segmentation:
     """k-means on as many principal components of the standardised columns as hold half of the variance."""
     if mode not in ("tune", "eval"):
         raise ValueError('Allowed values for mode are either "tune" or "eval".')
-    axes = axes or gram(df, features).axes().share(VARIANCE_SHARE)
-    return _centre_search(df, ce.Layout(features, [], axes), id_col, None, "PCA and Kmeans", 1.0, seeds or SEEDS,
-                          k_min, k_max, k, False)
+    return search_all(df, {"found": se.k_means(features, seeds=seeds, k_min=k_min, k_max=k_max, k=k)}, id_col)["found"]
 
 
 def kmeans_famd(df: DataFrame, features: list[str], id_col: str = "id", n_components: int = 2,
@@ -138,67 +187,34 @@ def kmeans(df: DataFrame, features: list[str], id_col: str = "id", seeds: list[i
 def k_family(encoded: DataFrame, numeric: list[str], codes: list[str], id_col: str = "id", output: str = "all",
              seeds: list[int] | None = None, k_min: int = K_MIN, k_max: int = K_MAX, k: int | None = None):
     """k-modes when every column is coded, k-prototypes otherwise; ``output='cost'`` gives the cost alone."""
-    gamma = ce.half_mean_deviation(encoded, numeric) if numeric else 1.0
-    found = _centre_search(encoded, ce.Layout(numeric, codes), id_col, [*numeric, *codes],
-                           "kprototypes" if numeric else "kmodes", gamma, seeds or SEEDS, k_min, k_max, k, True)
+    search = se.k_family(numeric, codes, seeds=seeds, k_min=k_min, k_max=k_max, k=k)
+    found = search_all(encoded, {"found": search}, id_col)["found"]
     return found.cost if output == "cost" else found
 
 
 def latent_classes(encoded: DataFrame, codes: list[str], numeric: list[str] | None = None, id_col: str = "id", ks=None,
-                   restarts: int = la.RESTARTS, max_iterations: int = 200, subset: bool = False) -> Segmentation:
+                   restarts: int = la.RESTARTS, max_passes: int = 600, subset: bool = False) -> Segmentation:
     """Latent classes of least BIC; without numeric columns fitted on distinct answer patterns.
 
     All columns are fitted; ``subset`` takes the random part that ``latent.wide_subset`` names beyond 100 of them."""
     numeric = numeric or []
     if subset and not numeric:
         codes = la.wide_subset(codes)
-    rows = encoded if numeric else ce.patterns(encoded, codes)
-    model, table = la.search_classes(rows, codes, numeric, ks, restarts, max_iterations)
-    labels = la.class_labels(encoded, codes, numeric, model).select(id_col, "cluster")
-    return Segmentation("Mixed LCA" if numeric else "LCA", labels, [*codes, *numeric], model, runs=table,
-                        note=None if model.settled else "Stopped by the number of iterations before the classes were at rest")
+    search = se.ClassSearch(codes, numeric, ks, restarts, max_passes)
+    if numeric:
+        joint.fit_together(encoded, {"found": search}, id_col)
+    else:
+        joint.fit_together(ce.patterns(encoded, codes), {"found": search}, id_col, "copies")
+    return _found(encoded, search, id_col)
 
 
 def gaussian_mixture(encoded: DataFrame, features: list[str], id_col: str = "id", seeds: list[int] | None = None,
                      k_min: int = K_MIN, k_max: int = K_MAX) -> Segmentation:
     """Best variational mixture: best balanced seed of each k by rank sum with criteria, then best k alike.
 
-    Runs with a class below one percent of the rows are left out. Runs are keyed by (k, seed).
+    Runs with a class below one percent of the rows are not chosen; ``runs`` holds them with the reason.
     """
-    spark = encoded.sparkSession
-    seeds = seeds or SEEDS
-    layout = ce.Layout(features, [])
-    g = gram(encoded, features)
-    n = encoded.count()
-    prior = mi.Prior(g.mean, g.correlation * np.outer(g.deviation, g.deviation) * n / max(n - 1, 1)
-                     + mi.RIDGE * np.eye(len(features)))
-    pool = ce.start_pool(encoded, layout, id_col, least=k_max)
-    keys = [(k, s) for k in range(k_min, k_max) for s in seeds]
-    starts = ce.fit(encoded, layout, {i: ce.spread_starts(pool, layout, k, s) for i, (k, s) in enumerate(keys)}, 10)
-    fitted = mi.fit_mixtures(encoded, features, starts, prior)
-    kept = {f"k{keys[i][0]}_seed{keys[i][1]}": (i, m, won) for i, (m, won) in fitted.items()
-            if won[won > 0].min() >= mi.SMALLEST_SHARE * n}
-    if not kept:
-        return Segmentation("Bayesian mixture", None, features, note="very small clusters detected")
-    labelled = mi.component_labels(encoded, features, {r: m for r, (_, m, _) in kept.items()}).persist()
-    runs = _scored(labelled, features, {r: m for r, (_, m, _) in kept.items()}, {})
-    for r in runs:
-        i, m, won = kept[r["run"]]
-        r.update(criteria_of(m, won, n, len(features)), n_clusters=keys[i][0])
-    per_k = {}
-    for k in range(k_min, k_max):
-        own = [r for r in runs if r["n_clusters"] == k]
-        best = choose_run(spark, own, criteria=True) if own else None
-        if best:
-            per_k[best] = next(r for r in own if r["run"] == best)
-    best = choose_run(spark, list(per_k.values()), criteria=True) if per_k else None
-    labelled.unpersist()
-    if best is None:
-        return Segmentation("Bayesian mixture", None, features, runs=runs,
-                            note="Unable to perform clustering due to unbalanced clusters for all k")
-    i, model, _ = kept[best]
-    labels = mi.component_labels(encoded, features, {"cluster": model}).select(id_col, "cluster")
-    return Segmentation("Bayesian mixture", labels, features, model, seed=keys[i][1], runs=runs)
+    return search_all(encoded, {"found": se.MixtureSearch(features, seeds, k_min, k_max)}, id_col)["found"]
 
 
 def criteria_of(model: mi.Mixture, won: np.ndarray, n: float, d: int) -> dict:

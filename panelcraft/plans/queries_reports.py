@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import cleaning, segment as sg
+from ..operators import cleaning, search as se, segment as sg
 from ..roles import ColumnRoles
 from . import report as rp
 from .oracle_parts import upto
@@ -49,11 +49,15 @@ def c06(spark, sf):
 @query("c18_run_all")
 def c18(spark, sf):
     coded = _all_encoded(spark, sf)
-    methods = {
-        "kmeans": lambda: sg.kmeans_pca(coded, FEATURES),
-        "k-family": lambda: sg.k_family(coded, [], CODED),
-        "lca": lambda: sg.latent_classes(coded, CODED),
-        "mixture": lambda: sg.gaussian_mixture(coded, FEATURES)}
     people = responses(spark, sf).withColumnRenamed("cluster", "qudo_cluster")
     roles = ColumnRoles("id", None, QUESTIONS, NUMERICS)
-    return rp.metrics_table(rp.run_all(people, coded, roles, methods, CODED, ["qudo_cluster"]))
+    searches = rp.all_searches(NUMERICS, QUESTIONS) | {"lca": se.ClassSearch(QUESTIONS), "k-modes": se.k_family([], QUESTIONS)}
+    return rp.metrics_table(rp.run_all(people, coded, roles, searches, QUESTIONS, ["qudo_cluster"]))
+
+
+@query("c18_run_all_hierarchical")
+def c18_inside(spark, sf):
+    coded = encoded(spark, sf, QUESTIONS).persist()
+    people = responses(spark, sf).drop("cluster")
+    return rp.metrics_table(rp.run_all_hierarchical(people, coded, ROLES, "cluster",
+                                                    lambda: rp.all_searches([], QUESTIONS, True), QUESTIONS, ignored=["2"]))

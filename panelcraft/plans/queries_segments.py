@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
-from ..operators import centres as ce, cleaning, latent as la, mixture as mi, reduce as rd, segment as sg
+from ..operators import centres as ce, cleaning, joint_fit as joint, latent as la, mixture as mi, reduce as rd, search as se, segment as sg
 from .oracle_parts import upto
 from .registry import query
 from .responses import NUMERICS, responses, table
@@ -167,8 +167,9 @@ def c09_full(spark, sf):
 @query("c11_gaussian_mixture")
 def c11(spark, sf):
     found = sg.gaussian_mixture(encoded(spark, sf), [*CODED, *TWO])
-    rows = [(r["run"], r["n_clusters"], r["log_likelihood"], r["bic"], r["aic"]) for r in found.runs]
-    return spark.createDataFrame(rows, "run string, n_clusters int, log_likelihood double, bic double, aic double")
+    rows = [(r["run"], r["n_clusters"], r["log_likelihood"], r["bic"], r["aic"], r["settled"], r["reason"]) for r in found.runs]
+    return spark.createDataFrame(rows, "run string, n_clusters int, log_likelihood double, bic double, aic double, settled boolean, "
+                                       "reason string")
 
 
 @query("c12_criteria", upto("responses", """SELECT cluster, round(-2 * ll + p * ln(n), 4) AS bic, round(-2 * ll + 2 * p, 4) AS aic
@@ -233,11 +234,32 @@ def c17(spark, sf):
             .groupBy("branch", "local", "cluster").agg(F.count("*").alias("n")))
 
 
+def _inside(features):
+    return lambda: {"kmeans": se.k_means(features, k_min=2, k_max=3)}
+
+
 @query("c17_hierarchical_kmeans")
 def c17_full(spark, sf):
-    rows = encoded(spark, sf)
-    features = [*CODED, *NUMERICS]
-    return sg.hierarchical(rows, "cluster", lambda part: sg.kmeans_pca(part, features)).labels
+    return sg.search_branches(encoded(spark, sf), "cluster", _inside([*CODED, *NUMERICS]))["kmeans"].labels
+
+
+def _runs_on(labels, branches):
+    """Per branch: rows, and whether its labels are 0..n-1 shifted by the number of labels of all branches before it."""
+    each = labels.join(branches, "id").groupBy("branch").agg(
+        F.count("*").alias("n"), F.min("cluster").alias("low"), F.max("cluster").alias("high"),
+        F.countDistinct("cluster").alias("different"))
+    return joint.running_total(each, "branch", "different").select(
+        "branch", "n", ((F.col("low") == F.col("before")) & (F.col("high") - F.col("low") + 1 == F.col("different"))
+                        & F.col("different").between(1, 2)).alias("runs_on"))
+
+
+@query("c17_branches_by_customer", """SELECT o_custkey AS branch, count(DISTINCT o_orderkey) AS n, TRUE AS runs_on
+  FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_custkey""")
+def c17_customers(spark, sf):
+    people = encoded(spark, sf).drop("cluster").join(
+        table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("branch")), "id").persist()
+    found = sg.search_branches(people, "branch", _inside([*CODED, *NUMERICS]))["kmeans"]
+    return _runs_on(found.labels, people.select("id", "branch"))
 
 
 @query("k08_consistency")
