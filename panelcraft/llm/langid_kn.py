@@ -16,7 +16,6 @@ every text is; equal cross-entropies go to the first language in order of name.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,10 +29,13 @@ ORDER = 4
 FIT_DOCS = 2_400
 REJECT_SIGMAS = 8.0
 UNDETERMINED = "und"
-LETTER = re.compile(r"[^\W\d_]")
 START = 1
 TEMPERATURES = (1, 2, 4, 8, 16, 32, 64, 128)
-_letters = np.fromiter((chr(c).isalpha() for c in range(1 << 16)), bool, 1 << 16)
+_letters = np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
+
+
+def has_letter(text: str) -> bool:
+    return any(map(str.isalpha, text))
 
 
 def symbols(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -42,8 +44,9 @@ def symbols(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     pad = "\x01" * (ORDER - 1)
     raw = np.frombuffer("".join(pad + t.replace("\x01", " ") + " " for t in low).encode("utf-32-le", "surrogatepass"), "<u4")
     owner = np.repeat(np.arange(len(low)), [len(t) + ORDER for t in low])
-    code = ((raw ^ (raw >> 16)) & 0xFFFF).astype(np.uint64)
-    blank = ~_letters[code.astype(np.int64)] & (raw != START)
+    # symbols have 16 bits: characters beyond them share the 2,048 codes that no text uses
+    code = np.where(raw > 0xFFFF, 0xD800 + ((raw ^ (raw >> 11)) & 0x7FF), raw).astype(np.uint64)
+    blank = ~_letters[raw] & (raw != START)
     code[blank] = 32
     keep = np.ones(len(code), bool)
     keep[1:] = ~(blank[1:] & blank[:-1])
@@ -106,7 +109,7 @@ class Model:
         best = entropy.argmin(axis=1)
         odds = np.exp2(-self.temperature * (entropy - entropy.min(axis=1, keepdims=True)))
         score = odds.max(axis=1) / odds.sum(axis=1)
-        return [(self.languages[b], float(s), bool(e <= self.limit)) if LETTER.search(t) else (UNDETERMINED, 0.0, False)
+        return [(self.languages[b], float(s), bool(e <= self.limit)) if has_letter(t) else (UNDETERMINED, 0.0, False)
                 for t, b, s, e in zip(texts, best, score, entropy.min(axis=1))]
 
 
@@ -148,7 +151,7 @@ def train(texts: list[str], languages: list[str]) -> Model | None:
 
 def calibrate(model: Model, texts: list[str], languages: list[str]) -> None:
     """Temperature of least log loss, and the limit of cross-entropy."""
-    rows = [(t, n) for t, n in zip(texts, languages) if LETTER.search(t) and n in model.languages]
+    rows = [(t, n) for t, n in zip(texts, languages) if has_letter(t) and n in model.languages]
     if not rows:
         return
     entropy = model.cross_entropy([t for t, _ in rows])

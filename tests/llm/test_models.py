@@ -170,3 +170,14 @@ def test_disguises_of_many_tokens_are_found_whole():
     whole = semicrf.Lattice(long, tokens)
     parts = [semicrf.Lattice(long, tokens, a, min(2_000, a + semicrf.BLOCK)).segments for a in range(0, 2_000, semicrf.BLOCK)]
     assert whole.segments == [x for own in parts for x in own]
+
+
+def test_letters_decide_what_has_a_language(spark, documents):
+    from panelcraft.llm import langid_kn
+
+    teach = [(i, t, n) for i, (t, n) in enumerate([("the cat sat on the mat", "en"), ("der hund und die katze", "de"),
+                                                   ("𠀋𠀌 𠀍𠀎𠀏 𠀋𠀍", "zz")] * 12)]
+    model = langid_kn.fit(spark.createDataFrame(teach, "doc_id long, text string, lang string"))
+    asked = documents([(1, "½ ²"), (2, "12 _ ٣"), (3, "𠀋𠀍𠀎 𠀌"), (4, None), (5, "the mat"), (6, "ª")])
+    got = {r["doc_id"]: r["lang_pred"] for r in langid_kn.identify(asked, model).collect()}
+    assert got[1] == got[2] == got[4] == "und" and got[3] == "zz" and got[5] == "en" and got[6] != "und"
