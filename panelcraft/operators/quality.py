@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from ..functions.ranks import average_rank
 from ..functions.sampling import random_label
-from .batch import packed, partial_sums, unpacked
+from ..session import cut_lineage
+from .batch import no_gaps, packed, partial_sums, unpacked
 
 # Fixed values.
 SHARE_LOW, SHARE_HIGH = 0.02, 0.55
@@ -171,6 +172,61 @@ def score_table(df: DataFrame, features: list[str], labels: list[str]) -> DataFr
         [tuple(r.values()) for r in score_labellings(df, features, labels)], SCORE_SCHEMA)
 
 
+def silhouette_gower(df: DataFrame, numeric: list[str], coded: list[str], label: str, id_col: str = "id") -> DataFrame:
+    """Mean silhouette by Gower's distance (a differing answer counts 1, a number its difference over the column's range, the
+    mean over all columns), exact and without pairs.
+
+    The summed distance of a row to a cluster falls apart by column. For an answer it is the cluster's size less its count of that
+    answer; for a number v it is v (2 n - N) - 2 s + S, with n and s the number and sum of the cluster's values up to v, and N and
+    S those of all. So each distinct value of a column has one row with a distance to every cluster, which rows look up. Running
+    sums go over ranges of the values, each summed apart. Rows without a label stay out; clusters of one row score 0; a missing
+    answer is an answer of its own, missing numbers raise. One cluster or no row has no silhouette (null).
+    """
+    no_gaps(df, numeric)
+    long_parts = []
+    rows = df.where(F.col(label).isNotNull()).select(
+        F.col(id_col).alias("i"), F.col(label).cast("string").alias("c"), *[F.col(x).cast("double").alias(f"n{j}") for j, x in enumerate(numeric)],
+        *[F.concat(F.lit("="), F.coalesce(F.col(x).cast("string"), F.lit(""))).alias(f"a{j}") for j, x in enumerate(coded)])
+    sizes = {r["c"]: r["count"] for r in rows.groupBy("c").count().orderBy("c").collect()}  # one row for each cluster
+    names = list(sizes)
+    if len(names) < 2:
+        return df.sparkSession.createDataFrame([(None,)], "silhouette double")
+    p = len(numeric) + len(coded)
+    if numeric:
+        ends = rows.agg(*[f(f"n{j}").alias(f"{t}{j}") for j in range(len(numeric)) for t, f in (("a", F.min), ("b", F.max))]).first()
+        spans = [ends[f"b{j}"] - ends[f"a{j}"] for j in range(len(numeric))]
+        values = rows.unpivot(["i", "c"], [f"n{j}" for j in range(len(numeric))], "q", "v")
+        held = values.groupBy("q", "v").agg(*[F.count_if(F.col("c") == c).alias(f"k{m}") for m, c in enumerate(names)])
+        ranged = cut_lineage(held.repartitionByRange("q", "v").withColumn("part", F.spark_partition_id()))
+        sums = [x for m in range(len(names)) for x in ((f"k{m}", F.col(f"k{m}").cast("double")), (f"s{m}", F.col(f"k{m}") * F.col("v")))]
+        totals = ranged.groupBy("q", "part").agg(*[F.sum(e).alias(n) for n, e in sums])
+        before = Window.partitionBy("q").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+        every = Window.partitionBy("q")
+        shifts = totals.select("q", "part", *[F.coalesce(F.sum(n).over(before), F.lit(0.0)).alias("b" + n) for n, _ in sums],
+                               *[F.sum(n).over(every).alias("t" + n) for n, _ in sums])
+        upto = Window.partitionBy("part", "q").orderBy("v")
+        span = F.element_at(F.create_map(*[F.lit(x) for j, w in enumerate(spans) for x in (f"n{j}", w or 1.0)]), F.col("q"))
+        away = [(F.col("v") * (2 * F.col(f"r{m}") - F.col(f"tk{m}")) - 2 * F.col(f"u{m}") + F.col(f"ts{m}")) / span for m in range(len(names))]
+        table = ranged.withColumns({("r" if n[0] == "k" else "u") + n[1:]: F.sum(e).over(upto) for n, e in sums}).join(shifts, ["q", "part"]) \
+            .withColumns({("r" if n[0] == "k" else "u") + n[1:]: F.col(("r" if n[0] == "k" else "u") + n[1:]) + F.col("b" + n) for n, _ in sums})
+        table = table.select("q", "v", *[a.alias(f"d{m}") for m, a in enumerate(away)])
+        long_parts.append(values.join(table, ["q", "v"]).select("i", "c", *[f"d{m}" for m in range(len(names))]))
+    if coded:
+        answers = rows.unpivot(["i", "c"], [f"a{j}" for j in range(len(coded))], "q", "v")
+        table = answers.groupBy("q", "v").agg(*[(sizes[c] - F.count_if(F.col("c") == c)).cast("double").alias(f"d{m}")
+                                                for m, c in enumerate(names)])
+        long_parts.append(answers.join(table, ["q", "v"]).select("i", "c", *[f"d{m}" for m in range(len(names))]))
+    every_part = long_parts[0] if len(long_parts) == 1 else long_parts[0].unionByName(long_parts[1])
+    summed = every_part.groupBy("i", "c").agg(*[F.sum(f"d{m}").alias(f"d{m}") for m in range(len(names))])
+    own = F.coalesce(*[F.when(F.col("c") == c, F.col(f"d{m}") / max(sizes[c] - 1, 1)) for m, c in enumerate(names)]) / p
+    others = [F.when(F.col("c") != c, F.col(f"d{m}") / sizes[c] / p) for m, c in enumerate(names)]
+    single = F.col("c").isin([c for c in names if sizes[c] == 1])
+    inner, outer = F.col("inner"), F.col("outer")
+    top = F.greatest(inner, outer)
+    return summed.select(own.alias("inner"), F.array_min(F.array_compact(F.array(*others))).alias("outer"), single.alias("single")).select(
+        F.avg(F.when(~F.col("single") & (top > 0), (outer - inner) / top).otherwise(0.0)).alias("silhouette"))
+
+
 def silhouette_euclidean(df: DataFrame, features: list[str], label: str, block_rows: int = 2048,
                          chunk: int = 512) -> DataFrame:
     """Mean Euclidean silhouette, exact.

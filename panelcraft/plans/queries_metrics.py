@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.special import chi2_upper_tail
 from ..operators import cleaning, crosstab as ct, metrics as mx, quality as ql
 from .oracle_parts import SIZES, upto
 from .queries_inference import inference
@@ -238,6 +239,41 @@ def k01_euclidean(spark, sf):
     return ql.silhouette_euclidean(vectors(spark, sf), EMB, "label").select(_r("silhouette"))
 
 
+_GOWER = " + ".join([f"CASE WHEN a.{q} <> b.{q} THEN 1.0 ELSE 0.0 END" for q in QUESTIONS]
+                    + [f"abs(a.{c} - b.{c}) / (SELECT max({c}) - min({c}) FROM responses)" for c in NUMERICS])
+
+
+@query("k01_silhouette_gower", upto("responses", f"""SELECT round(avg(CASE WHEN greatest(inner_d, outer_d) > 0
+      THEN (outer_d - inner_d) / greatest(inner_d, outer_d) ELSE 0 END), 6) AS silhouette
+  FROM (SELECT id, max(CASE WHEN own = other THEN d / (n - 1) END) AS inner_d, min(CASE WHEN own <> other THEN d / n END) AS outer_d
+    FROM (SELECT a.id, a.cluster AS own, b.cluster AS other, sum(({_GOWER}) / {len(QUESTIONS) + len(NUMERICS)}) AS d, count(*) AS n
+      FROM responses a JOIN responses b ON true GROUP BY ALL) GROUP BY id)"""))
+def k01_gower(spark, sf):
+    return ql.silhouette_gower(responses(spark, sf), NUMERICS, QUESTIONS, "cluster").select(_r("silhouette"))
+
+
+@query("x01_large_tail", """WITH cells AS (SELECT l_linenumber, l_partkey, l_returnflag, count(*) AS n FROM lineitem GROUP BY ALL),
+  sides AS (SELECT *, sum(n) OVER (PARTITION BY l_linenumber, l_partkey) AS a, sum(n) OVER (PARTITION BY l_linenumber, l_returnflag) AS b,
+    sum(n) OVER (PARTITION BY l_linenumber) AS total FROM cells),
+  tests AS (SELECT l_linenumber, (count(DISTINCT l_partkey) - 1) * (count(DISTINCT l_returnflag) - 1) AS dof,
+    sum(CAST(n AS DOUBLE) * n * total / (CAST(a AS DOUBLE) * b)) - max(total) AS stat FROM sides GROUP BY l_linenumber)
+SELECT l_linenumber, CAST(dof AS BIGINT) AS dof, round(stat, 4) AS stat, round(list_sum(list_transform(range(CAST(dof // 2 AS BIGINT)),
+  lambda i: exp(i * ln(stat / 2) - stat / 2 - lgamma(CAST(i + 1 AS DOUBLE))))), 8) AS p FROM tests""")
+def x01(spark, sf):
+    """Independence of part and return flag for each line number: thousands of degrees of freedom (even, as flags are three)."""
+    cells = table(spark, sf, "lineitem").groupBy("l_linenumber", "l_partkey", "l_returnflag").agg(F.count("*").alias("n"))
+    parts = cells.groupBy("l_linenumber", "l_partkey").agg(F.sum("n").alias("a"))
+    flags = cells.groupBy("l_linenumber", "l_returnflag").agg(F.sum("n").alias("b"))
+    whole = flags.groupBy("l_linenumber").agg(F.sum("b").alias("total"), F.count("*").alias("n_flags"))
+    shares = cells.join(parts, ["l_linenumber", "l_partkey"]).join(flags, ["l_linenumber", "l_returnflag"])
+    stat = F.sum(F.col("n").cast("double") * F.col("n") / (F.col("a").cast("double") * F.col("b")))
+    tests = shares.groupBy("l_linenumber").agg(stat.alias("share")).join(whole, "l_linenumber").join(
+        parts.groupBy("l_linenumber").agg(F.count("*").alias("n_parts")), "l_linenumber")
+    out = tests.select("l_linenumber", ((F.col("n_parts") - 1) * (F.col("n_flags") - 1)).cast("long").alias("dof"),
+                       (F.col("share") * F.col("total") - F.col("total")).alias("stat"))
+    return out.select("l_linenumber", "dof", _r("stat", 4), F.round(chi2_upper_tail(F.col("stat"), F.col("dof")), 8).alias("p"))
+
+
 @query("k02_davies_bouldin", "WITH " + _V + _DB.format(long="long_v"))
 def k02(spark, sf):
     return _score(vectors(spark, sf), EMB, "label", "davies_bouldin")

@@ -6,6 +6,8 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from ..operators import centres as ce, cleaning, joint_fit as joint, latent as la, mixture as mi, reduce as rd, search as se, segment as sg
+from ..session import shared_place
+from ..sources import models
 from .oracle_parts import upto
 from .registry import query
 from .responses import NUMERICS, responses, table
@@ -267,3 +269,25 @@ def k08(spark, sf):
     rows = encoded(spark, sf)
     found = sg.kmeans_pca(rows, [*CODED, *NUMERICS], mode="tune")
     return spark.createDataFrame(list(sg.consistency(rows, found).items()), "metric string, value double")
+
+
+@query("s08_stored_model", upto("responses", """SELECT 'kmeans' AS method, count(*) AS respondents, count(*) AS same_label FROM responses
+  UNION ALL SELECT 'lca', count(*), count(*) FROM responses UNION ALL SELECT 'mixture', count(*), count(*) FROM responses"""))
+def s08(spark, sf):
+    """Fit, store, read back, and label the raw answers as if they were new: the labels are those of the fit."""
+    people = responses(spark, sf)
+    rows = encoded(spark, sf).persist()
+    answers = cleaning.label_codes(people, CODED)
+    fitted = sg.search_all(rows, {"kmeans": se.k_means([*CODED, *NUMERICS], k=3), "lca": se.ClassSearch(CODED, ks=[3]),
+                                  "mixture": se.MixtureSearch([*CODED, *TWO], k_min=3, k_max=4, any_balance=True)})
+    out = None
+    for method, seg in fitted.items():
+        path = f"{shared_place(spark)}/{method}"
+        numeric, codes = ([], CODED) if method == "lca" else (seg.features, [])
+        models.save(seg, path, numeric, codes, spark, answers)
+        stored = models.load(spark, path)
+        again = stored.label(stored.encode(people.drop("cluster"))).withColumnRenamed("cluster", "again")
+        one = seg.labels.join(again, "id").agg(F.count("*").alias("respondents"), F.count_if(F.col("cluster") == F.col("again")).alias("same_label"))
+        one = one.select(F.lit(method).alias("method"), "respondents", "same_label")
+        out = one if out is None else out.unionByName(one)
+    return out

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,18 +31,28 @@ def build_session(app: str = "panelcraft", master: str | None = None, **conf) ->
     return builder.getOrCreate()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint into the shared folder named by ``spark.checkpoint.dir``.
-
-    Only on a local master, one machine, a temporary folder stands in for a missing setting.
-    """
-    spark = df.sparkSession
+def _shared(spark: SparkSession) -> str:
+    """The context's checkpoint folder, set from ``spark.checkpoint.dir`` where it is not set yet."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
         if not named and (not context.master.startswith("local") or context.master.startswith("local-cluster")):
             raise ValueError("spark.checkpoint.dir is not set; name a folder that driver and executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="panelcraft-checkpoint-"))
+    return context.getCheckpointDir()
+
+
+def shared_place(spark: SparkSession) -> str:
+    """A new folder name that driver and executors share."""
+    return f"{_shared(spark)}/panelcraft-{uuid.uuid4().hex}"
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Checkpoint into the shared folder named by ``spark.checkpoint.dir``.
+
+    Only on a local master, one machine, a temporary folder stands in for a missing setting.
+    """
+    _shared(df.sparkSession)
     held = df.persist()  # an eager checkpoint reads its input twice
     out = held.checkpoint(eager=True)
     held.unpersist()
