@@ -240,7 +240,7 @@ class Search:
 
 
 class CentreSearch(Search):
-    """k-means (on principal axes if ``share`` is given), k-modes or k-prototypes: k from one run per k, then the best seed.
+    """k-means (on principal axes if ``share`` of the variance or ``components`` are given), k-modes or k-prototypes: k from one run per k, then the best seed.
 
     Starts come from k-means|| over all rows. ``dense`` takes the densest answers instead (Cao et al. 2009) in the search for k and
     in the run of the first seed, with numeric parts drawn around the means; they leave nothing else to a seed, so the runs of the
@@ -248,9 +248,9 @@ class CentreSearch(Search):
     """
 
     def __init__(self, numeric, codes=(), share: float | None = None, dense: bool = False, seeds=None, k_min=K_MIN, k_max=K_MAX,
-                 k: int | None = None, algorithm: str | None = None, any_balance: bool = False):
+                 k: int | None = None, algorithm: str | None = None, any_balance: bool = False, components: int | None = None):
         super().__init__(numeric, codes)
-        self.any_balance = any_balance
+        self.any_balance, self.components = any_balance, components
         self.share, self.dense, self.seeds, self.k = share, dense and bool(self.codes), list(seeds or SEEDS), k
         self.k_min, self.k_max = k_min, k_max
         self.algorithm = algorithm or ("PCA and Kmeans" if share else "kprototypes" if self.codes and self.numeric
@@ -265,11 +265,12 @@ class CentreSearch(Search):
     def _end_spread(self, t):
         cov, p = self._covariance(t), len(self.numeric)
         dev = self.deviation[:p]
-        if self.share:
+        if self.share or self.components:
             safe = np.where(dev > 0, dev, 1.0)
             corr = cov[:p, :p] / np.outer(safe, safe)
             np.fill_diagonal(corr, (dev > 0).astype(float))
-            self.axes = Gram(self.numeric, self.mean[:p], dev, corr).axes().share(self.share)
+            axes = Gram(self.numeric, self.mean[:p], dev, corr).axes()
+            self.axes = axes.keep(self.components) if self.components else axes.share(self.share)
         elif self.codes and p:
             self.gamma = 0.5 * float(dev.mean())
         self.most = self.k_max - 1 if self.k is None else self.k
@@ -370,6 +371,8 @@ class CentreSearch(Search):
             if len(ks) > 1:
                 return self._fit({f"k{c}": self._start(c, self.seeds[0]) for c in ks}, True)
             self.k = ks[0] if ks else None
+        if self.any_balance and self.k is not None and have:
+            self.k = min(self.k, have)  # clusters beyond the different rows would stay empty
         if self.k is None or self.k > have:
             self.note = "Fewer different rows than clusters"
             return "done"

@@ -11,16 +11,18 @@ from pyspark.sql import functions as F
 from ..functions.ranks import average_rank
 from ..functions.sampling import unit_hash
 from ..roles import ColumnRoles, study_columns
-from . import centres as ce
 from . import crosstab as ct
 from . import deliver as dv
+from . import joint_fit as joint
 from . import laplacian as lp
 from . import quality as ql
+from . import search as se
 from . import segment as sg
+from .batch import add_columns
 from .cleaning import encode
 from .graph import affinity
 from .mcfs import mcfs
-from .reduce import GRID_VARIANCE_SHARE, gram
+from .reduce import GRID_VARIANCE_SHARE
 
 # Fixed values of the grids.
 GRID_K = range(3, 9)
@@ -28,6 +30,7 @@ COMPONENT_K = range(3, 8)
 COMPONENTS = range(2, 82, 5)
 KMEANS_TOP, KPROTO_TOP = 80, 40
 MISSING_RANK = 1.1
+GRID_SEED = 42
 
 
 def segment_stats(labelled: DataFrame, features: list[str], runs: list[str]) -> DataFrame:
@@ -65,83 +68,53 @@ def _by_run(stats: DataFrame) -> dict[str, dict[str, float]]:
     return out
 
 
-def _fit_grid(df, layout, ks, id_col, gamma=1.0, dense=False):
-    pool = ce.start_pool(df, layout, id_col, gamma, max(ks))
-    rows = df if layout.numeric else ce.patterns(df, layout.codes)
-    starts = {i: ce.dense_starts(rows, layout, k, gamma) if dense and not layout.numeric
-              else ce.spread_starts(pool, layout, k, 42, gamma) for i, k in enumerate(ks)}
-    fitted = ce.fit(rows, layout, starts, tolerance=pool.tolerance)
-    return {f"k{k}": fitted[i] for i, k in enumerate(ks)}
+def _fit_grid(encoded: DataFrame, wanted: dict[str, se.CentreSearch], id_col: str) -> dict[str, se.CentreSearch]:
+    """All runs of a grid, each with its own columns, axes and k, in the same passes; without those that found too few rows."""
+    return {run: s for run, s in joint.fit_together(encoded, wanted, id_col).items() if s.model is not None}
 
 
-def kmeans_grid(encoded: DataFrame, features: list[str], id_col: str = "id", ks=GRID_K, top: int = KMEANS_TOP) -> list[dict]:
-    """k-means on all columns for every k, then again on each k's columns of highest chi-squared statistic.
+def _grid_labels(encoded: DataFrame, fitted: dict[str, se.CentreSearch]) -> DataFrame:
+    columns = list(dict.fromkeys(c for s in fitted.values() for c in s.columns))
+    at = {run: [columns.index(c) for c in s.columns] for run, s in fitted.items()}
+    return add_columns(encoded, columns, {run: "int" for run in fitted},
+                       lambda v: [s.label(v[:, at[run]]) for run, s in fitted.items()])
 
-    One correlation matrix serves all: the axes of a subset of columns are taken from a part of it.
-    """
-    moments = gram(encoded, features)
-    axes = moments.axes().share(GRID_VARIANCE_SHARE)
-    layout = ce.Layout(features, [], axes)
-    fitted = _fit_grid(encoded, layout, ks, id_col)
-    labelled = ce.assign(encoded, layout, fitted, scores=True).persist()
-    scored = {s["labelling"]: s for s in ql.score_labellings(
-        labelled, [f"s{i}" for i in range(axes.vectors.shape[1])], list(fitted))}
-    out = [_grid_row(scored[f"k{k}"], k, "all", features, fitted[f"k{k}"].cost) for k in ks]
-    stats = _by_run(segment_stats(labelled, features, list(fitted)))
-    labelled.unpersist()
-    for k in ks:
-        chosen = list(stats.get(f"k{k}", {}))[-top:]
-        if not chosen:
-            continue
-        part = ce.Layout(chosen, [], moments.axes(chosen).share(GRID_VARIANCE_SHARE))
-        one = _fit_grid(encoded, part, [k], id_col)
-        run = ql.score_labellings(ce.assign(encoded, part, one, scores=True),
-                                  [f"s{i}" for i in range(part.axes.vectors.shape[1])], list(one))[0]
-        out.append(_grid_row(run, k, top, chosen, one[f"k{k}"].cost, stats[f"k{k}"]))
+
+def _two_step_grid(encoded: DataFrame, features: list[str], id_col: str, ks, top: int, search) -> list[dict]:
+    """``search(columns, k)`` on all columns for every k, then on each k's columns of highest chi-squared statistic."""
+    fitted = _fit_grid(encoded, {f"k{k}": search(features, k) for k in ks}, id_col)
+    out = [_grid_row(s.runs[0], int(run[1:]), "all", features, s.cost) for run, s in fitted.items()]
+    stats = _by_run(segment_stats(_grid_labels(encoded, fitted), features, list(fitted)))
+    chosen = {run: list(stats[run])[-top:] for run in fitted if stats.get(run)}
+    for run, s in _fit_grid(encoded, {run: search(own, int(run[1:])) for run, own in chosen.items()}, id_col).items():
+        out.append(_grid_row(s.runs[0], int(run[1:]), top, chosen[run], s.cost, stats[run]))
     return out
 
 
+def kmeans_grid(encoded: DataFrame, features: list[str], id_col: str = "id", ks=GRID_K, top: int = KMEANS_TOP) -> list[dict]:
+    """k-means on all columns for every k, then again on each k's columns of highest chi-squared statistic."""
+    return _two_step_grid(encoded, features, id_col, ks, top, lambda columns, k: se.CentreSearch(
+        columns, (), GRID_VARIANCE_SHARE, seeds=[GRID_SEED], k=k, any_balance=True))
+
+
 def component_grid(encoded: DataFrame, features: list[str], id_col: str = "id", ks=COMPONENT_K, components=COMPONENTS) -> list[dict]:
-    """k-means for every k on growing numbers of components, all cut from one decomposition."""
-    axes = gram(encoded, features).axes()
-    out = []
-    for n in [*[c for c in components if c < len(features)], len(features)]:
-        layout = ce.Layout(features, [], axes.keep(n))
-        fitted = _fit_grid(encoded, layout, ks, id_col)
-        labelled = ce.assign(encoded, layout, fitted, scores=True).persist()
-        for s in ql.score_labellings(labelled, [f"s{i}" for i in range(n)], list(fitted)):
-            k = int(s["labelling"][1:])
-            out.append(_grid_row(s, k, "all" if n == len(features) else n, features, fitted[f"k{k}"].cost))
-        labelled.unpersist()
-    return out
+    """k-means for every k on growing numbers of components, all runs together."""
+    counts = [*[c for c in components if c < len(features)], len(features)]
+    fitted = _fit_grid(encoded, {f"n{n}_k{k}": se.CentreSearch(features, (), seeds=[GRID_SEED], k=k, any_balance=True, components=n)
+                                 for n in counts for k in ks}, id_col)
+    return [_grid_row(s.runs[0], int(run.split("_k")[1]), "all" if s.components == len(features) else s.components, features, s.cost)
+            for run, s in fitted.items()]
 
 
 def kproto_grid(encoded: DataFrame, numeric: list[str], codes: list[str], id_col: str = "id", ks=GRID_K,
                 top: int = KPROTO_TOP) -> list[dict]:
     """k-prototypes for every k (k-modes without numerics, k-means without codes), then again on each k's columns of
     highest statistic."""
-    features = [*numeric, *codes]
-
-    def run(num, cat, wanted):
-        gamma = ce.half_mean_deviation(encoded, num) if num and cat else 1.0
-        axes = gram(encoded, num).axes().share(GRID_VARIANCE_SHARE) if num and not cat else None
-        layout = ce.Layout(num, cat, axes)
-        fitted = _fit_grid(encoded, layout, wanted, id_col, gamma, dense=True)
-        labelled = ce.assign(encoded, layout, fitted).persist()
-        scored = {s["labelling"]: s for s in ql.score_labellings(labelled, [*num, *cat], list(fitted))}
-        return fitted, labelled, scored
-
-    fitted, labelled, scored = run(numeric, codes, list(ks))
-    out = [_grid_row(scored[f"k{k}"], k, "all", features, fitted[f"k{k}"].cost) for k in ks]
-    stats = _by_run(segment_stats(labelled, features, list(fitted)))
-    labelled.unpersist()
-    for k in ks:
-        chosen = list(stats.get(f"k{k}", {}))[-top:]
-        if chosen:
-            one, part, scores = run([c for c in chosen if c in numeric], [c for c in chosen if c in codes], [k])
-            out.append(_grid_row(scores[f"k{k}"], k, top, chosen, one[f"k{k}"].cost, stats[f"k{k}"]))
-            part.unpersist()
-    return out
+    def search(columns: list[str], k: int) -> se.CentreSearch:
+        num, cat = [c for c in columns if c in numeric], [c for c in columns if c in codes]
+        return se.CentreSearch(num, cat, None if cat else GRID_VARIANCE_SHARE, True, [GRID_SEED], k=k, any_balance=True)
+
+    return _two_step_grid(encoded, [*numeric, *codes], id_col, ks, top, search)
 
 
 def grid_table(spark, grid: list[dict]) -> DataFrame:
@@ -182,13 +155,25 @@ def laplacian_quality(encoded: DataFrame, features: list[str], n_neighbours: int
     if not isinstance(encoded, DataFrame):
         raise TypeError("Input must be a DataFrame.")
     lp.check_neighbours(n_neighbours)
+    return _qualities(encoded, features, {n_neighbours: graph}, n_cols, id_col, **search)[0]
+
+
+def _qualities(encoded: DataFrame, features: list[str], graphs: dict[int, DataFrame | None], n_cols: int, id_col: str,
+               **search) -> list[dict]:
+    """The same for several neighbour counts: the clusterings, each on its own columns, share their passes."""
     started = perf_counter()
-    chosen, ranking = lp.select_features(encoded, features, n_cols, n_neighbours, id_col=id_col, graph=graph)
-    found = sg.kmeans_pca(encoded, chosen, id_col, mode="tune", **search)
-    best = next((r for r in found.runs if r["run"] == f"seed{found.seed}"), {})
-    return {"n_neighbours": n_neighbours, "n_cols": n_cols, "n_clusters": best.get("n_clusters"),
-            **{m: best.get(m) for m in ("silhouette", "davies_bouldin", "calinski_harabasz")},
-            "time_taken": perf_counter() - started, "cols": chosen, "column_rankings": ranking}
+    picked = {n: lp.select_features(encoded, features, n_cols, n, id_col=id_col, graph=graph) for n, graph in graphs.items()}
+    sets = dict.fromkeys(tuple(chosen) for chosen, _ in picked.values())
+    found = dict(zip(sets, sg.search_all(encoded, {f"set{i}": se.k_means(list(own), **search) for i, own in enumerate(sets)},
+                                         id_col).values()))
+    out = []
+    for n, (chosen, ranking) in picked.items():
+        seg = found[tuple(chosen)]
+        best = next((r for r in seg.runs if r["run"] == f"seed{seg.seed}"), {})
+        out.append({"n_neighbours": n, "n_cols": n_cols, "n_clusters": best.get("n_clusters"),
+                    **{m: best.get(m) for m in ("silhouette", "davies_bouldin", "calinski_harabasz")},
+                    "time_taken": (perf_counter() - started) / len(graphs), "cols": chosen, "column_rankings": ranking})
+    return out
 
 
 QUALITY_SCHEMA = ("n_neighbours int, n_clusters int, silhouette double, davies_bouldin double, calinski_harabasz double, "
@@ -204,7 +189,7 @@ def optimal_laplacian(encoded: DataFrame, features: list[str], min_neighbours: i
         raise TypeError("Input must be a DataFrame.")
     sizes = list(range(min_neighbours, max_neighbours + 5, 5))
     edges, graphs = lp.graphs_by_size(encoded, features, sizes, id_col=id_col)
-    tried = [laplacian_quality(encoded, features, n, n_cols, id_col, graphs[n], **search) for n in sizes]
+    tried = _qualities(encoded, features, {n: graphs[n] for n in sizes}, n_cols, id_col, **search)
     edges.unpersist()
     best = _best_quality(encoded.sparkSession, tried)
     return next(t for t in tried if t["n_neighbours"] == best), tried
@@ -251,10 +236,10 @@ def rank_features(df: DataFrame, n_features: int, n_neighbours: int, t: float, n
             raise ValueError(name)
         if value is n_features and not isinstance(df, DataFrame):
             raise TypeError("input should be a DataFrame")
-    if len(df.limit(n_features).take(n_features)) < n_features:
-        raise ValueError("n_features is more than number of columns")
     spark = df.sparkSession
     features = study_columns(df)
+    if len(features) < n_features:
+        raise ValueError("n_features is more than number of columns")
     encoded = encode(df.select(id_col, *features), features).persist()
     graph = affinity(encoded, n_neighbours, id_col, codes=features, t=t).persist()
     best, _ = optimal_laplacian(encoded, features, id_col=id_col, **search)

@@ -9,7 +9,7 @@ from ..operators.mcfs import mcfs
 from .queries_metrics import EMB, vectors
 from .queries_segments import CODED, encoded
 from .registry import query
-from .responses import NUMERICS, responses, table
+from .responses import NUMERICS, QUESTIONS, responses, table
 
 K = 5
 MIXED_NUM = ["p_size", "p_retailprice"]
@@ -201,3 +201,10 @@ def g18(spark, sf):
     found = sl.subsample_study(rows, CODED, [0.5, 1.0])
     return spark.createDataFrame([(f["share"], f["n_neighbours"], f["n_clusters"], f["silhouette"]) for f in found],
                                  "share double, n_neighbours int, n_clusters int, silhouette double")
+
+
+@query("g17_rank_features")
+def g17_all(spark, sf):
+    """Four rankers over all questions that a study clusters on, fused: the three best."""
+    chosen = sl.rank_features(responses(spark, sf).select("id", *QUESTIONS), 3, 5, 1, 4)
+    return spark.createDataFrame([(i + 1, c) for i, c in enumerate(chosen)], "place int, feature string")
