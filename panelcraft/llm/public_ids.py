@@ -1,4 +1,10 @@
-"""Ids of the public byte-level tokenizer, one encoder for each Python worker."""
+"""Ids of the public byte-level tokenizer, one encoder for each Python worker.
+
+The library's pre-tokens never cross a single space between two characters that are no white space, so the ids of a text are those
+of its chunks between spaces, and most chunks repeat. Chunks not seen before are joined to one text, encoded in one call, and cut
+apart where an id's token begins with the space. Texts in which a chunk is empty or has white space at an end, or that hold a
+special token's string, are encoded whole by the same call.
+"""
 
 from __future__ import annotations
 
@@ -6,24 +12,86 @@ import os
 from array import array
 from functools import cache
 
-from .spaced_cache import CACHE_CHUNKS, SpacedCache
+import numpy as np
 
 #: Id appended to each document.
 END_ID = 2
+#: Bytes (keys, ids and about what Python adds to them) of chunks that a worker keeps, in an older and a younger half; their
+#: size, never a result, depends on it. Chunks beyond LONGEST characters are not kept.
+CACHE_BYTES, ENTRY_BYTES, LONGEST = 320 << 20, 190, 64
+#: Chunks encoded in one call.
+JOINED_CHUNKS = 1 << 13
 
 
-@cache
-def encoder(path: str, chunks: int = CACHE_CHUNKS) -> SpacedCache:
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+class Encoder:
+    """Texts to little-endian unsigned 32-bit ids, as ``Tokenizer.encode(text, add_special_tokens=False)`` gives them."""
+
+    def __init__(self, path: str, cache_bytes: int = CACHE_BYTES):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.opens = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.opens[[i for token, i in vocabulary.items() if token.startswith("Ġ")]] = True
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.cache_bytes, self.young, self.old, self.held = cache_bytes, {}, {}, 0
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+    def whole(self, texts: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def encode_many(texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _joined(self, chunks: list[str]) -> list[bytes]:
+        """Ids of each chunk behind a space."""
+        text = " " + " ".join(chunks)
+        ids = array("I", self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids)
+        at = np.flatnonzero(self.opens[np.frombuffer(ids, np.uint32)])
+        if len(at) != len(chunks):  # a rule of another vocabulary: one by one
+            return self.whole([" " + c for c in chunks])
+        raw, ends = ids.tobytes(), (4 * at).tolist()
+        return [raw[a:b] for a, b in zip(ends, [*ends[1:], len(raw)])]
 
-    return SpacedCache(encode_many, chunks)
+    def _learn(self, chunks: set[str]) -> dict[str, bytes]:
+        """Ids of chunks that the younger half lacks: from the older one, or encoded. None for what a space does not set apart."""
+        old = self.old.get
+        found = {c: x for c in chunks if (x := old(c)) is not None}
+        new = [c for c in chunks - found.keys() if c and c.strip() == c]
+        for at in range(0, len(new), JOINED_CHUNKS):
+            some = new[at:at + JOINED_CHUNKS]
+            found.update(zip(some, self._joined(some)))
+        kept = {c: x for c, x in found.items() if len(c) <= LONGEST}
+        self.young.update(kept)
+        self.held += sum(map(len, kept)) + sum(map(len, kept.values())) + ENTRY_BYTES * len(kept)
+        return found
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        if 2 * self.held > self.cache_bytes:
+            self.old, self.young, self.held = self.young, {}, 0
+        get, split, wanted = self.young.get, [], set()
+        for text in texts:
+            head, *chunks = text.split(" ")
+            parts = [*map(get, chunks)]
+            at = None
+            if None in parts:
+                at = [i for i, x in enumerate(parts) if x is None]
+                wanted.update([chunks[i] for i in at])
+            split.append((head, chunks, parts, at))
+        learnt = self._learn(wanted).get if wanted else None
+        out: list[bytes | None] = []
+        for text, (head, chunks, parts, at), first in zip(texts, split, self.whole([s[0] for s in split])):
+            if at:
+                for i in at:
+                    parts[i] = learnt(chunks[i])
+            apart = at and None in parts or chunks and head[-1:].isspace() or any(s in text for s in self.special)
+            out.append(None if apart else first + b"".join(parts))
+        alone = [i for i, x in enumerate(out) if x is None]
+        for i, x in zip(alone, self.whole([texts[i] for i in alone])):
+            out[i] = x
+        return out
+
+
+@cache
+def encoder(path: str) -> Encoder:
+    return Encoder(path)
 
 
 def default_path() -> str:

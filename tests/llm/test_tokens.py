@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 
 from panelcraft.llm import packing, rank_queue_bpe, token_planes
 from panelcraft.llm.linear_grouping import Plan
-from panelcraft.llm.public_ids import default_path, encoder
+from panelcraft.llm.public_ids import Encoder, default_path, encoder
 
 from .conftest import ODD
 
@@ -17,7 +17,6 @@ def plain_ids(text):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(default_path())
-    tokenizer.encode_special_tokens = True
     return tokenizer.encode(text, add_special_tokens=False).ids
 
 
@@ -34,6 +33,18 @@ def test_chunk_cache_encodes_as_the_library(texts):
     assert [np.frombuffer(x, "<u4").tolist() for x in encoder(default_path()).encode(texts)] == [plain_ids(t) for t in texts]
 
 
+@pytest.mark.parametrize("cache_bytes", [0, 4_000, 1 << 28])
+def test_encoder_at_any_cache_size(cache_bytes):
+    words = ["tion", "re", "Éa", "the", "日本", "x1", "it's", "end.", "a\nb", "¶", "word" * 40, "<|endoftext|>", "Ġa", "½"]
+    rng = np.random.default_rng(1)
+    texts = [" ".join(words[i] for i in rng.integers(0, len(words), 40)) for _ in range(60)] + ["", " ", "a  b", " a", "a ", "\n x"]
+    own = Encoder(default_path(), cache_bytes)
+    for at in range(0, len(texts), 7):
+        some = texts[at:at + 7]
+        assert [np.frombuffer(x, "<u4").tolist() for x in own.encode(some)] == [plain_ids(t) for t in some]
+    assert np.frombuffer(own.encode(["a <|endoftext|> b"])[0], "<u4").tolist().count(50256) == 1
+
+
 def test_files_of_odd_rows(spark, odd, tmp_path):
     token_planes.write(odd, str(tmp_path / "ids"))
     got = sorted(token_planes.read(spark, str(tmp_path / "ids")).collect(), key=lambda r: r["start"])
