@@ -50,8 +50,7 @@ def pack(ids: np.ndarray, block_ids: int = BLOCK_IDS, level: int = LEVEL) -> byt
     for at in blocks:
         block = np.ascontiguousarray(ids[at:at + block_ids], dtype="<u4")
         width = int(block.max()).bit_length()
-        bits = np.unpackbits(block.view(np.uint8).reshape(-1, 4), axis=1, bitorder="little", count=width)
-        packed = [compress(row.tobytes()) for row in np.packbits(bits.T, axis=1, bitorder="little")]
+        packed = [compress(np.packbits((block & np.uint32(1 << bit)) != 0, bitorder="little").tobytes()) for bit in range(width)]
         index += [len(block), width, *map(len, packed)]
         planes += packed
     return b"".join([MAGIC, struct.pack(f"<{len(index) + 1}I", len(blocks), *index), *planes])
@@ -68,11 +67,12 @@ def unpack(chunk: bytes) -> np.ndarray:
         at += 8 + 4 * width
     expand, out = zstandard.ZstdDecompressor().decompress, []
     for n, sizes in shape:
-        bits = np.zeros((32, n), dtype=np.uint8)
-        for plane, size in enumerate(sizes):
-            bits[plane] = np.unpackbits(np.frombuffer(expand(chunk[at:at + size]), np.uint8), count=n, bitorder="little")
+        ids = np.zeros(n, dtype="<u4")
+        for bit, size in enumerate(sizes):
+            plane = np.unpackbits(np.frombuffer(expand(chunk[at:at + size]), np.uint8), count=n, bitorder="little")
+            ids |= plane.astype("<u4") << np.uint32(bit)
             at += size
-        out.append(np.ascontiguousarray(np.packbits(bits.T, axis=1, bitorder="little")).view("<u4").ravel())
+        out.append(ids)
     return np.concatenate(out) if out else np.zeros(0, dtype="<u4")
 
 
