@@ -18,7 +18,7 @@ import numpy as np
 END_ID = 2
 #: Bytes (keys, ids and about what Python adds to them) of chunks that a worker keeps, in an older and a younger half; their
 #: size, never a result, depends on it. Chunks beyond LONGEST characters are not kept.
-CACHE_BYTES, ENTRY_BYTES, LONGEST = 320 << 20, 190, 64
+CACHE_BYTES, ENTRY_BYTES, LONGEST = 128 << 20, 190, 64
 #: Chunks encoded in one call.
 JOINED_CHUNKS = 1 << 13
 
