@@ -11,14 +11,16 @@ from __future__ import annotations
 import os
 from array import array
 from functools import cache
+from itertools import compress
 
 import numpy as np
 
 #: Id appended to each document.
 END_ID = 2
 #: Bytes (keys, ids and about what Python adds to them) of chunks that a worker keeps, in an older and a younger half; their
-#: size, never a result, depends on it. Chunks beyond LONGEST characters are not kept.
-CACHE_BYTES, ENTRY_BYTES, LONGEST = 128 << 20, 190, 64
+#: size, never a result, depends on it. Chunks beyond LONGEST characters are not kept, nor are those met for the first time:
+#: DOOR flags by hash tell which were met before, so that chunks that never return do not push out those that do.
+CACHE_BYTES, ENTRY_BYTES, LONGEST, DOOR = 64 << 20, 190, 64, 1 << 23
 #: Chunks encoded in one call.
 JOINED_CHUNKS = 1 << 13
 
@@ -36,6 +38,7 @@ class Encoder:
         self.opens[[i for token, i in vocabulary.items() if token.startswith("Ġ")]] = True
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.cache_bytes, self.young, self.old, self.held = cache_bytes, {}, {}, 0
+        self.met, self.n_met = np.zeros(DOOR, bool), 0
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -50,17 +53,28 @@ class Encoder:
         raw, ends = ids.tobytes(), (4 * at).tolist()
         return [raw[a:b] for a, b in zip(ends, [*ends[1:], len(raw)])]
 
+    def _met_before(self, chunks: list[str]) -> list[str]:
+        """Those of ``chunks`` whose flag is up; the flags of all go up. Half of all flags at most are up at once."""
+        if self.n_met + len(chunks) > DOOR // 2:
+            self.met[:], self.n_met = False, 0
+        at = np.fromiter(map(hash, chunks), np.int64, len(chunks)) & (DOOR - 1)
+        known = self.met[at]
+        self.met[at] = True
+        self.n_met += len(chunks) - int(known.sum())
+        return list(compress(chunks, known.tolist()))
+
     def _learn(self, chunks: set[str]) -> dict[str, bytes]:
         """Ids of chunks that the younger half lacks: from the older one, or encoded. None for what a space does not set apart."""
         old = self.old.get
         found = {c: x for c in chunks if (x := old(c)) is not None}
         new = [c for c in chunks - found.keys() if c and c.strip() == c]
+        kept = [*found, *(c for c in self._met_before(new) if len(c) <= LONGEST)]
         for at in range(0, len(new), JOINED_CHUNKS):
             some = new[at:at + JOINED_CHUNKS]
             found.update(zip(some, self._joined(some)))
-        kept = {c: x for c, x in found.items() if len(c) <= LONGEST}
-        self.young.update(kept)
-        self.held += sum(map(len, kept)) + sum(map(len, kept.values())) + ENTRY_BYTES * len(kept)
+        ids = [*map(found.__getitem__, kept)]
+        self.young.update(zip(kept, ids))
+        self.held += sum(map(len, kept)) + sum(map(len, ids)) + ENTRY_BYTES * len(kept)
         return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -70,18 +84,18 @@ class Encoder:
         for text in texts:
             head, *chunks = text.split(" ")
             parts = [*map(get, chunks)]
-            at = None
-            if None in parts:
-                at = [i for i, x in enumerate(parts) if x is None]
+            at = [i for i, x in enumerate(parts) if x is None]
+            if at:
                 wanted.update([chunks[i] for i in at])
             split.append((head, chunks, parts, at))
         learnt = self._learn(wanted).get if wanted else None
         out: list[bytes | None] = []
         for text, (head, chunks, parts, at), first in zip(texts, split, self.whole([s[0] for s in split])):
-            if at:
-                for i in at:
-                    parts[i] = learnt(chunks[i])
-            apart = at and None in parts or chunks and head[-1:].isspace() or any(s in text for s in self.special)
+            unset = False
+            for i in at:
+                parts[i] = got = learnt(chunks[i])
+                unset |= got is None
+            apart = unset or chunks and head[-1:].isspace() or any(s in text for s in self.special)
             out.append(None if apart else first + b"".join(parts))
         alone = [i for i, x in enumerate(out) if x is None]
         for i, x in zip(alone, self.whole([texts[i] for i in alone])):
