@@ -1,5 +1,6 @@
 import hashlib
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -130,6 +131,34 @@ def test_windows_network_learns_both_sides(spark):
     assert got[0]["log_prob"] == pytest.approx(want, abs=1e-3)
 
 
+@pytest.mark.parametrize("frequent", [40, 1 << 17])
+def test_every_word_has_its_share_of_its_class(spark, frequent):
+    rng = np.random.default_rng(3)
+    common = [f"c{a}{b}" for a in "bdfgklmnprst" for b in "abcdefghijklmnopqrst"]
+    rare = [f"stone{a}{b}" for a in "bdfgk" for b in "lmnpr"]
+    texts = [" ".join(rng.permutation(common)) + " " + " ".join(rng.choice(rare, 8)) for _ in range(20)]
+    docs = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    counted = pseudo_likelihood.count_words(docs)
+    words, weights = pseudo_likelihood.train(docs, counted)
+    shares = pseudo_likelihood.share_out(counted, words, frequent)
+    assert (shares.rare.count() > 0) == (frequent == 40)
+    mixed = ["stonebl cba stonegm", "stoneqq cba stonezz", "Stonebl " * 3 + "tt, newword", None, texts[0], texts[0]]
+    odd = spark.createDataFrame([(k % 5, t) for k, t in enumerate(mixed)], "doc_id long, text string")
+    got = [r["log_prob"] for r in pseudo_likelihood.score(odd, words, weights, shares=shares).sort("doc_id", "n_words").collect()]
+    plain = [r["log_prob"] for r in pseudo_likelihood.score(odd, words, weights).sort("doc_id", "n_words").collect()]
+    order = sorted(range(6), key=lambda k: (k % 5, len((mixed[k] or "").split())))
+    n = Counter(w for t in texts for w in t.split())
+    total = Counter()
+    for w, k in n.items():
+        total[pseudo_likelihood.make_up(w)] += 0 if w in words else k
+    for have, base, k in zip(got, plain, order):
+        own = [w for w in (mixed[k] or "").lower().split() if w not in words]
+        assert have == pytest.approx(base + sum(np.log(max(1, n[w]) / (total[pseudo_likelihood.make_up(w)] + 1)) for w in own), abs=1e-6)
+    score = dict(zip(order, got))
+    assert dict(zip(order, plain))[0] == pytest.approx(dict(zip(order, plain))[1])  # same shapes
+    assert score[0] > score[1] + 2 and score[4] == score[5]
+
+
 def entity_texts():
     rng = np.random.default_rng(6)
     names, hosts = ["ann", "bob.k", "eve", "max.d", "zoe"], ["mail.org", "post.example.org", "a.b.example.net", "site.com"]
