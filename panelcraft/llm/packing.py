@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .common import id_text, shared_table, slices, texts_of
 from .linear_grouping import Plan
-from .public_ids import END_ID, default_path, encoder
+from .public_ids import CACHE_BYTES, END_ID, default_path, encoder
 
 CAPACITY = 1024
 PIECES_DDL = "doc_id long, piece int, start long, length long, ids_crc32 long, part long, nth long"
@@ -34,7 +34,7 @@ PLACED = pa.schema([*list(PIECES)[:5], ("sequence_id", pa.int64()), ("offset", p
 
 
 def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = None, id_col: str = "doc_id",
-           text_col: str = "text") -> DataFrame:
+           text_col: str = "text", cache_bytes: int = CACHE_BYTES) -> DataFrame:
     """Pieces with their task and their number among the task's pieces of that length, as a shared table."""
     tokenizer = tokenizer or default_path()
     end = np.uint32(END_ID).tobytes()
@@ -44,7 +44,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = No
         for batch in batches:
             for some in slices(batch, 1):
                 rows = []
-                for doc, ids in zip(some.column(0).to_pylist(), encoder(tokenizer).encode(texts_of(some.column(1)))):
+                for doc, ids in zip(some.column(0).to_pylist(), encoder(tokenizer, cache_bytes).encode(texts_of(some.column(1)))):
                     ids = ids + end
                     short = len(ids) % (4 * capacity)
                     cuts = [*([0] if short else []), *range(short, len(ids), 4 * capacity)]
@@ -59,9 +59,9 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = No
 
 
 def pack(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = None, id_col: str = "doc_id",
-         text_col: str = "text") -> DataFrame:
+         text_col: str = "text", cache_bytes: int = CACHE_BYTES) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece."""
-    cut = pieces(docs, capacity, tokenizer, id_col, text_col)
+    cut = pieces(docs, capacity, tokenizer, id_col, text_col, cache_bytes)
     by_task = cut.groupBy("part", "length").count()
     # At most one row for each length up to the capacity.
     histogram = {r["length"]: r["n"] for r in by_task.groupBy("length").agg(F.sum("count").alias("n")).collect()}

@@ -21,6 +21,8 @@ END_ID = 2
 #: size, never a result, depends on it. Chunks beyond LONGEST characters are not kept, nor are those met for the first time:
 #: DOOR flags by hash tell which were met before, so that chunks that never return do not push out those that do.
 CACHE_BYTES, ENTRY_BYTES, LONGEST, DOOR = 64 << 20, 190, 64, 1 << 23
+#: CACHE_BYTES of a job that only encodes, so that its workers keep nothing for other stages.
+ALONE_BYTES = 320 << 20
 #: Chunks encoded in one call.
 JOINED_CHUNKS = 1 << 13
 
@@ -104,8 +106,8 @@ class Encoder:
 
 
 @cache
-def encoder(path: str) -> Encoder:
-    return Encoder(path)
+def encoder(path: str, cache_bytes: int = CACHE_BYTES) -> Encoder:
+    return Encoder(path, cache_bytes)
 
 
 def default_path() -> str:

@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 
 from panelcraft.llm import packing, rank_queue_bpe, token_planes
 from panelcraft.llm.linear_grouping import Plan
-from panelcraft.llm.public_ids import Encoder, default_path, encoder
+from panelcraft.llm.public_ids import ALONE_BYTES, CACHE_BYTES, Encoder, default_path, encoder
 
 from .conftest import ODD
 
@@ -45,6 +45,20 @@ def test_encoder_at_any_cache_size(cache_bytes):
     assert np.frombuffer(own.encode(["a <|endoftext|> b"])[0], "<u4").tolist().count(50256) == 1
 
 
+def test_cache_of_an_encoding_job_keeps_what_returns(spark, odd):
+    words = [f"w{k:x}q" for k in range(500_000)]
+    encoded = {}
+    for size in (CACHE_BYTES, ALONE_BYTES):
+        own, encoded[size] = Encoder(default_path(), size), []
+        own._joined = lambda some, seen=encoded[size]: seen.extend(some) or [b""] * len(some)  # what is encoded, not how
+        for turn in range(4):
+            for at in range(0, len(words), 20_000):
+                own.encode([" " + " ".join(words[at:at + 20_000])])
+    assert len(words) < len(encoded[ALONE_BYTES]) <= 2 * len(words) < len(encoded[CACHE_BYTES])
+    small, large = [{r[:5] for r in packing.pack(odd, cache_bytes=n).collect()} for n in (4_000, ALONE_BYTES)]
+    assert small == large and len(small) >= len(ODD)
+
+
 def test_files_of_odd_rows(spark, odd, tmp_path):
     token_planes.write(odd, str(tmp_path / "ids"))
     got = sorted(token_planes.read(spark, str(tmp_path / "ids")).collect(), key=lambda r: r["start"])
