@@ -23,6 +23,8 @@ END_ID = 2
 CACHE_BYTES, ENTRY_BYTES, LONGEST, DOOR = 64 << 20, 190, 64, 1 << 23
 #: CACHE_BYTES of a job that only encodes, so that its workers keep nothing for other stages.
 ALONE_BYTES = 320 << 20
+#: The same for a job that keeps chunks when it first meets them: fuller from the start, and fewer are encoded twice.
+FIRST_BYTES = 256 << 20
 #: Chunks encoded in one call.
 JOINED_CHUNKS = 1 << 13
 
@@ -30,7 +32,7 @@ JOINED_CHUNKS = 1 << 13
 class Encoder:
     """Texts to little-endian unsigned 32-bit ids, as ``Tokenizer.encode(text, add_special_tokens=False)`` gives them."""
 
-    def __init__(self, path: str, cache_bytes: int = CACHE_BYTES):
+    def __init__(self, path: str, cache_bytes: int = CACHE_BYTES, first: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -40,7 +42,7 @@ class Encoder:
         self.opens[[i for token, i in vocabulary.items() if token.startswith("Ġ")]] = True
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.cache_bytes, self.young, self.old, self.held = cache_bytes, {}, {}, 0
-        self.met, self.n_met = np.zeros(DOOR, bool), 0
+        self.first, self.met, self.n_met = first, np.zeros(0 if first else DOOR, bool), 0
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -70,7 +72,7 @@ class Encoder:
         old = self.old.get
         found = {c: x for c in chunks if (x := old(c)) is not None}
         new = [c for c in chunks - found.keys() if c and c.strip() == c]
-        kept = [*found, *(c for c in self._met_before(new) if len(c) <= LONGEST)]
+        kept = [*found, *(c for c in (new if self.first else self._met_before(new)) if len(c) <= LONGEST)]
         for at in range(0, len(new), JOINED_CHUNKS):
             some = new[at:at + JOINED_CHUNKS]
             found.update(zip(some, self._joined(some)))
@@ -106,8 +108,8 @@ class Encoder:
 
 
 @cache
-def encoder(path: str, cache_bytes: int = CACHE_BYTES) -> Encoder:
-    return Encoder(path, cache_bytes)
+def encoder(path: str, cache_bytes: int = CACHE_BYTES, first: bool = False) -> Encoder:
+    return Encoder(path, cache_bytes, first)
 
 
 def default_path() -> str:

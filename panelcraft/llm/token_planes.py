@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import id_text, slices, texts_of
-from .public_ids import END_ID, default_path, encoder
+from .public_ids import CACHE_BYTES, END_ID, default_path, encoder
 
 MAGIC = b"BPL1"
 BLOCK_IDS = 1 << 14
@@ -50,7 +50,8 @@ def pack(ids: np.ndarray, block_ids: int = BLOCK_IDS, level: int = LEVEL) -> byt
     for at in blocks:
         block = np.ascontiguousarray(ids[at:at + block_ids], dtype="<u4")
         width = int(block.max()).bit_length()
-        packed = [compress(np.packbits((block & np.uint32(1 << bit)) != 0, bitorder="little").tobytes()) for bit in range(width)]
+        lanes = np.ascontiguousarray(block.view(np.uint8).reshape(-1, 4).T)  # a byte of each id together
+        packed = [compress(np.packbits(lanes[bit >> 3] & np.uint8(1 << (bit & 7)), bitorder="little").tobytes()) for bit in range(width)]
         index += [len(block), width, *map(len, packed)]
         planes += packed
     return b"".join([MAGIC, struct.pack(f"<{len(index) + 1}I", len(blocks), *index), *planes])
@@ -76,10 +77,11 @@ def unpack(chunk: bytes) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, dtype="<u4")
 
 
-def write(docs: DataFrame, path: str, tokenizer: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> None:
+def write(docs: DataFrame, path: str, tokenizer: str | None = None, id_col: str = "doc_id", text_col: str = "text",
+          cache_bytes: int = CACHE_BYTES, first: bool = False) -> None:
     """Encode every whole text, append END_ID, and write the ids in ascending id order under ``path``."""
     tokenizer = tokenizer or default_path()
-    end = np.uint32(END_ID).tobytes()
+    end, keep_first = np.uint32(END_ID).tobytes(), first
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, chunk, first = TaskContext.get().partitionId(), 0, 0
@@ -94,7 +96,7 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, id_col: str
 
         for batch in batches:
             for piece in slices(batch, 1):
-                for doc, ids in zip(piece.column(0).to_pylist(), encoder(tokenizer).encode(texts_of(piece.column(1)))):
+                for doc, ids in zip(piece.column(0).to_pylist(), encoder(tokenizer, cache_bytes, keep_first).encode(texts_of(piece.column(1)))):
                     n = len(ids) // 4 + 1
                     if held and held + n > CHUNK_IDS:
                         yield out()

@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 
 from panelcraft.llm import packing, rank_queue_bpe, token_planes
 from panelcraft.llm.linear_grouping import Plan
-from panelcraft.llm.public_ids import ALONE_BYTES, CACHE_BYTES, Encoder, default_path, encoder
+from panelcraft.llm.public_ids import ALONE_BYTES, CACHE_BYTES, FIRST_BYTES, Encoder, default_path, encoder
 
 from .conftest import ODD
 
@@ -59,6 +59,22 @@ def test_cache_of_an_encoding_job_keeps_what_returns(spark, odd):
     assert small == large and len(small) >= len(ODD)
 
 
+def test_first_chunks_are_kept_and_planes_are_the_same(spark, odd, tmp_path):
+    texts = [t or "" for _, t in ODD] + ["tion re Éa the 日本 x1 it's end. ½"] * 2
+    own, seen = Encoder(default_path(), FIRST_BYTES, True), []
+    inner = own._joined
+    own._joined = lambda some: seen.extend(some) or inner(some)
+    for _ in range(3):
+        assert [np.frombuffer(x, "<u4").tolist() for x in own.encode(texts)] == [plain_ids(t) for t in texts]
+    short = [c for c in seen if len(c) <= 64]
+    assert "Éa" in short and len(short) == len(set(short))
+    rows = []
+    for name, size, first in (("a", CACHE_BYTES, False), ("b", FIRST_BYTES, True), ("c", 0, True)):
+        token_planes.write(odd, str(tmp_path / name), cache_bytes=size, first=first)
+        rows.append({tuple(r) for r in token_planes.read(spark, str(tmp_path / name)).drop("start").collect()})
+    assert rows[0] == rows[1] == rows[2]
+
+
 def test_files_of_odd_rows(spark, odd, tmp_path):
     token_planes.write(odd, str(tmp_path / "ids"))
     got = sorted(token_planes.read(spark, str(tmp_path / "ids")).collect(), key=lambda r: r["start"])
