@@ -21,9 +21,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import id_text, shared_table, slices, texts_of
+from .common import id_text, shared_table, slices
 from .linear_grouping import Plan
-from .public_ids import CACHE_BYTES, END_ID, default_path, encoder
+from .public_ids import CACHE_BYTES, ENCODED_BYTES, ENCODED_ROWS, END_ID, default_path, encoder
 
 CAPACITY = 1024
 PIECES_DDL = "doc_id long, piece int, start long, length long, ids_crc32 long, part long, nth long"
@@ -42,9 +42,9 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = No
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seen = TaskContext.get().partitionId(), Counter()
         for batch in batches:
-            for some in slices(batch, 1):
+            for some in slices(batch, 1, ENCODED_BYTES, ENCODED_ROWS):
                 rows = []
-                for doc, ids in zip(some.column(0).to_pylist(), encoder(tokenizer, cache_bytes).encode(texts_of(some.column(1)))):
+                for doc, ids in zip(some.column(0).to_pylist(), encoder(tokenizer, cache_bytes).encode(some.column(1))):
                     ids = ids + end
                     short = len(ids) % (4 * capacity)
                     cuts = [*([0] if short else []), *range(short, len(ids), 4 * capacity)]

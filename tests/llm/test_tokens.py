@@ -1,7 +1,9 @@
 import base64
 import zlib
+from functools import cache
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -20,6 +22,17 @@ def plain_ids(text):
     return tokenizer.encode(text, add_special_tokens=False).ids
 
 
+@cache
+def library():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(default_path())
+
+
+def library_ids(texts):
+    return [library().encode(t, add_special_tokens=False).ids for t in texts]
+
+
 @given(st.lists(st.integers(0, 2 ** 32 - 1), max_size=300))
 @settings(max_examples=50, deadline=None)
 def test_planes_come_back(ids):
@@ -59,6 +72,46 @@ def test_cache_of_an_encoding_job_keeps_what_returns(spark, odd):
     assert small == large and len(small) >= len(ODD)
 
 
+def test_words_are_encoded_once_whatever_marks_are_around_them():
+    words = [f"{a}{b}{c}éß" for a in "bdfgklmnprstvz" for b in "aeiouyäöü" for c in "bdfgklmnprstvz"]
+    around = ["{}", "{}.", "{},", "({})", "{}!?", "$$${}", "'x' {}", "x.\n{}", "{}\nx"]
+    texts = [" ".join(["x", *(a.format(w) for w in words)]) for a in around]
+    own, seen = Encoder(default_path(), FIRST_BYTES, True), []
+    inner, lines = own._joined, own._lines
+    own._joined = lambda some: seen.extend(some) or inner(some)
+    own._lines = lambda some: seen.extend(some) or lines(some)
+    for text in texts:
+        assert [np.frombuffer(x, "<u4").tolist() for x in own.encode([text])] == library_ids([text])
+    # Behind a space and without one: twice at most for each word, not once for each way of writing it.
+    assert sum(any(c.isalpha() for c in x) for x in seen) <= 2 * len(words) + 3  # and x
+    batch = pa.array([None, "", *texts, "a  b"], pa.string()).slice(1)
+    assert [np.frombuffer(x, "<u4").tolist() for x in own.encode(batch)] == library_ids(batch.to_pylist())
+
+
+BLANKS = [" ", "  ", "\n", "\n\n", "\r\n", "\t", "\v", "\x1c", "\x85", "\xa0", "\u1680", "\u2003", "\u2028", "\u205f", "\u3000"]
+SIGNS = ["a", "Z", "é", "ß", "ÿ", "ſ", "Я", "ҁ", "×", "÷", "½", "²", "ª", "1", "٣", "日", "क्ि", "\u200b", "\u0301", "😀", "’", "“", "'", "'s",
+         "'re", "don't", ".", "-", "_", "$$", "<|", "<|endoftext|>", "Ġ", "\0", "\x7f"]
+
+
+@given(st.lists(st.lists(st.sampled_from(BLANKS + SIGNS), max_size=12).map("".join), max_size=6))
+@settings(max_examples=150, deadline=None)
+def test_pieces_of_odd_signs_encode_as_the_library(texts):
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder(default_path()).encode(texts)] == library_ids(texts)
+
+
+def test_other_patterns_are_cut_at_spaces_only(tmp_path):
+    from tokenizers import Regex, Tokenizer, pre_tokenizers
+
+    other = Tokenizer.from_file(default_path())
+    other.pre_tokenizer = pre_tokenizers.Sequence([
+        pre_tokenizers.Split(Regex(r"[^\r\n\p{L}\p{N}]?\p{L}+|\p{N}| ?[^\s\p{L}\p{N}]+[\r\n]*|\s*[\r\n]+|\s+(?!\S)|\s+"), "isolated"),
+        pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+    other.save(str(tmp_path / "other.json"))
+    texts = ["(the) end.\nThe $re-start, of.the\n\nend", "x.\n\ny the\nend", "it's  the end. "]
+    got = Encoder(str(tmp_path / "other.json")).encode(texts)
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [other.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_first_chunks_are_kept_and_planes_are_the_same(spark, odd, tmp_path):
     texts = [t or "" for _, t in ODD] + ["tion re Éa the 日本 x1 it's end. ½"] * 2
     own, seen = Encoder(default_path(), FIRST_BYTES, True), []
