@@ -26,8 +26,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import id_text, slices, texts_of
-from .public_ids import CACHE_BYTES, END_ID, default_path, encoder
+from .common import id_text, slices
+from .public_ids import CACHE_BYTES, ENCODED_BYTES, ENCODED_ROWS, END_ID, default_path, encoder
 
 MAGIC = b"BPL1"
 BLOCK_IDS = 1 << 14
@@ -95,8 +95,8 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, id_col: str
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, CHUNKS.types)], schema=CHUNKS)
 
         for batch in batches:
-            for piece in slices(batch, 1):
-                for doc, ids in zip(piece.column(0).to_pylist(), encoder(tokenizer, cache_bytes, keep_first).encode(texts_of(piece.column(1)))):
+            for piece in slices(batch, 1, ENCODED_BYTES, ENCODED_ROWS):
+                for doc, ids in zip(piece.column(0).to_pylist(), encoder(tokenizer, cache_bytes, keep_first).encode(piece.column(1))):
                     n = len(ids) // 4 + 1
                     if held and held + n > CHUNK_IDS:
                         yield out()

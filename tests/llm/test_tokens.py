@@ -128,6 +128,22 @@ def test_first_chunks_are_kept_and_planes_are_the_same(spark, odd, tmp_path):
     assert rows[0] == rows[1] == rows[2]
 
 
+def test_planes_are_encoded_in_slices_whose_pieces_repeat(documents, tmp_path, monkeypatch):
+    log, texts = tmp_path / "log", ["the " * 500 + f"end{i}." for i in range(1_200)]
+
+    def encode(self, some, inner=Encoder.encode):
+        with open(log, "a") as lines:
+            lines.write(f"{len(some)}\n")
+        return inner(self, some)
+
+    monkeypatch.setattr(token_planes, "encoder", lambda *a: type("Logged", (Encoder,), {"encode": encode})(*a))
+    token_planes.write(documents([(i, t) for i, t in enumerate(texts)]).coalesce(1), str(tmp_path / "ids"))
+    calls = [int(n) for n in log.read_text().split()]
+    got = token_planes.read(documents([]).sparkSession, str(tmp_path / "ids")).collect()
+    assert {(r["doc_id"], r["n_tokens"]) for r in got} == {(i, len(x) + 1) for i, x in enumerate(library_ids(texts))}
+    assert sum(calls) == len(texts) and max(calls) > 250  # 500 KB hold 249 of them
+
+
 def test_files_of_odd_rows(spark, odd, tmp_path):
     token_planes.write(odd, str(tmp_path / "ids"))
     got = sorted(token_planes.read(spark, str(tmp_path / "ids")).collect(), key=lambda r: r["start"])
