@@ -21,9 +21,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import id_text, shared_table, slices
+from .common import SLICE_CHARS, id_text, shared_table, slices
 from .linear_grouping import Plan
-from .public_ids import CACHE_BYTES, ENCODED_BYTES, ENCODED_ROWS, END_ID, default_path, encoder
+from .public_ids import CACHE_BYTES, ENCODED_ROWS, END_ID, default_path, encoder
 
 CAPACITY = 1024
 PIECES_DDL = "doc_id long, piece int, start long, length long, ids_crc32 long, part long, nth long"
@@ -34,7 +34,8 @@ PLACED = pa.schema([*list(PIECES)[:5], ("sequence_id", pa.int64()), ("offset", p
 
 
 def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = None, id_col: str = "doc_id",
-           text_col: str = "text", cache_bytes: int = CACHE_BYTES) -> DataFrame:
+           text_col: str = "text", cache_bytes: int = CACHE_BYTES,
+         slice_bytes: int = SLICE_CHARS) -> DataFrame:
     """Pieces with their task and their number among the task's pieces of that length, as a shared table."""
     tokenizer = tokenizer or default_path()
     end = np.uint32(END_ID).tobytes()
@@ -42,7 +43,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = No
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seen = TaskContext.get().partitionId(), Counter()
         for batch in batches:
-            for some in slices(batch, 1, ENCODED_BYTES, ENCODED_ROWS):
+            for some in slices(batch, 1, slice_bytes, ENCODED_ROWS):
                 rows = []
                 for doc, ids in zip(some.column(0).to_pylist(), encoder(tokenizer, cache_bytes).encode(some.column(1))):
                     ids = ids + end
@@ -59,9 +60,10 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = No
 
 
 def pack(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = None, id_col: str = "doc_id",
-         text_col: str = "text", cache_bytes: int = CACHE_BYTES) -> DataFrame:
+         text_col: str = "text", cache_bytes: int = CACHE_BYTES,
+         slice_bytes: int = SLICE_CHARS) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece."""
-    cut = pieces(docs, capacity, tokenizer, id_col, text_col, cache_bytes)
+    cut = pieces(docs, capacity, tokenizer, id_col, text_col, cache_bytes, slice_bytes)
     by_task = cut.groupBy("part", "length").count()
     # At most one row for each length up to the capacity.
     histogram = {r["length"]: r["n"] for r in by_task.groupBy("length").agg(F.sum("count").alias("n")).collect()}
