@@ -3,9 +3,11 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from panelcraft.llm import langid_kn, pii_patterns, pseudo_likelihood, semicrf, ssk_svm
+from panelcraft.llm import langid_kn, pii_patterns, pseudo_likelihood, queries, semicrf, ssk_svm
 from panelcraft.llm.common import remainder
 
 from .conftest import ODD
@@ -159,6 +161,42 @@ def test_every_word_has_its_share_of_its_class(spark, frequent):
     assert score[0] > score[1] + 2 and score[4] == score[5]
 
 
+def test_the_most_frequent_words_go_to_the_tasks(spark):
+    n = {f"w{k}": 6_000 // k for k in range(1, 1_001)}
+    shares = pseudo_likelihood.share_out(spark.createDataFrame([*n.items()], "word string, n long"), ["w1", "w2"], 500)
+    assert shares.logs == {w: pytest.approx(np.log(k) if w not in ("w1", "w2") else 0) for w, k in n.items() if k >= 12}
+    assert len(shares.logs) == 500 and {r["word"] for r in shares.rare.collect()} == {w for w, k in n.items() if k < 12}
+
+
+def test_texts_are_read_twice(spark, real, monkeypatch):
+    seen = spark.sparkContext.accumulator(0)
+
+    def touch(text):
+        seen.add(1)
+        return text
+
+    docs = real.limit(200).select("doc_id", F.udf(touch, "string").asNondeterministic()("text").alias("text"))
+    monkeypatch.setattr(queries, "documents", lambda spark, sf_dir: docs)
+    assert queries.op8_pseudo_likelihood(spark, SF).count() == 200
+    assert seen.value == 400
+
+
+def test_codes_are_those_of_single_words(spark, odd):
+    words = ["the", "twice", "ab", "a1b", "x9", "9", ".", "..", "a.", "-a", "ab-c", "é", "é.", "²", "a²", "ß1", "日本", "٣", "a٣", "straße",
+             "eightlet", "nineletts", "z" * 15, "z" * 16, "I.", "a,", "abcdefgh,", "1a", "a11", "\x00"]
+    assert pseudo_likelihood.make_ups(pa.array(words)).tolist() == [*map(pseudo_likelihood.make_up, words)]
+    assert pseudo_likelihood.make_ups(pa.array(words)[5:12]).tolist() == [*map(pseudo_likelihood.make_up, words[5:12])]
+    logs, floors = {"the": 0.0, "twice": 3.0, "over": 2.0}, -np.arange(256) / 8
+    coder = {"the": 1} | {w: pseudo_likelihood.make_up(w) for _, t in ODD for w in (t or "").lower().split() if w != "the"}
+    got = pseudo_likelihood.coded(odd, ["the"], pseudo_likelihood.Shares(logs, floors, None)).sort("row").collect()
+    assert len(got) == len(ODD)
+    for r in got:
+        own = next((t or "").lower().split() for k, t in ODD if k == r["doc_id"])
+        assert [*r["codes"]] == [0, *map(coder.get, own), 0] and r["n_words"] == len(own)
+        assert r["rare"] == [w for w in own if w not in logs]
+        assert r["log_share"] == pytest.approx(sum(logs.get(w, 0) + floors[coder[w]] for w in own))
+
+
 def entity_texts():
     rng = np.random.default_rng(6)
     names, hosts = ["ann", "bob.k", "eve", "max.d", "zoe"], ["mail.org", "post.example.org", "a.b.example.net", "site.com"]
