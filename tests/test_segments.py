@@ -141,6 +141,26 @@ def test_neighbours_against_brute_force_with_hot_pattern(spark, monkeypatch, acr
     assert {(r["src"], r["dst"], r["rn"]) for r in got} == want
 
 
+@pytest.mark.parametrize("metric", ["euclidean", "cosine"])
+def test_patterns_are_written_once_and_neighbours_are_exact(spark, monkeypatch, metric):
+    monkeypatch.setattr(gr, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(gr, "ASKERS", 40)
+    monkeypatch.setattr(gr, "MEMBERS", 32)
+    written, write = [], gr._write_blocks
+    monkeypatch.setattr(gr, "_write_blocks", lambda *a: written.extend(write(*a)) or written)
+    x = np.random.default_rng(8).normal(size=(200, 12)) + 3.0
+    x[150:] = x[:50]
+    names = [f"c{i}" for i in range(12)]
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], ["id", *names])
+    got = {(r["src"], r["dst"], r["rn"]) for r in gr.nearest(df, 4, numeric=names, metric=metric).collect()}
+    if metric == "cosine":
+        x = x / np.linalg.norm(x, axis=1)[:, None]
+    d = np.round(np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1)), 9)
+    assert got == {(i, j, rn + 1) for i in range(200) for rn, j in enumerate(
+        sorted((j for j in range(200) if j != i), key=lambda j: (d[i, j], j))[:4])}
+    assert sum(b.rows for b in written) == 150 and len(written) > 12
+
+
 def test_laplacian_against_matrices(spark):
     rng = np.random.default_rng(4)
     x = rng.normal(size=(60, 3))
