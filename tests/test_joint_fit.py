@@ -154,3 +154,24 @@ def test_missing_values_are_refused_or_reported(spark, people):
         sg.kmeans_pca(holed, NUM)
     both = sg.search_all(holed, {"bad": se.k_means(NUM), "good": se.k_means(["y", "z"], seeds=[1], k=3)}, go_on=True)
     assert both["bad"].labels is None and "x" in both["bad"].note and both["good"].model is not None
+
+
+def test_equal_rows_are_counted_once(spark, monkeypatch):
+    """Steps that need no key hash read one row for each different one, and find the same."""
+    rng = np.random.default_rng(4)
+    x = np.column_stack([rng.integers(0, 3, 4000), rng.integers(0, 2, 4000), rng.integers(0, 6, 4000)])
+    x[:2000, 2] += 20
+    df = spark.createDataFrame([(i, *map(int, r)) for i, r in enumerate(x)], "id long, a int, b int, n int")
+    made = lambda: {"lca": se.ClassSearch(["a", "b"], ["n"], [2], 2), "family": se.k_family(["n"], ["a", "b"], k_max=5),
+                    "mixture": se.MixtureSearch(["a", "n"], [1], 2, 3, any_balance=True)}
+    seen, held = [], joint._pass
+    monkeypatch.setattr(joint, "_pass", lambda rows, both, names, *a: seen.append(
+        (rows.count(), [both.searches[n].phase for n in names])) or held(rows, both, names, *a))
+    merged = joint.fit_together(df, made())
+    assert all(n <= 72 for n, phases in seen if "draw" not in phases) and any(n == 4000 for n, _ in seen)
+    monkeypatch.setattr(joint, "MERGED_FROM", 1e9)
+    plain = joint.fit_together(df, made())
+    for name in merged:
+        assert (merged[name].label(x[:, [["a", "b", "n"].index(c) for c in merged[name].columns]].astype(float))
+                == plain[name].label(x[:, [["a", "b", "n"].index(c) for c in plain[name].columns]].astype(float))).all()
+        assert merged[name].n == plain[name].n == 4000
