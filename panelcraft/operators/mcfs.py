@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.sampling import unit_hash
 from ..session import cut_lineage
 from .batch import partial_sums
+from .graph import CodedGraph
 
 EXTRA_VECTORS = 4
 STEPS_PER_ROUND = 3
@@ -37,19 +38,31 @@ def _times(y: DataFrame, m: np.ndarray) -> DataFrame:
     return y.withColumn("y", F.array(*cols))
 
 
-def embedding(graph: DataFrame, n_vectors: int, rounds: int = 12, tolerance: float = 1e-4) -> tuple[DataFrame, np.ndarray]:
+def embedding(graph: DataFrame | CodedGraph, n_vectors: int, rounds: int = 12, tolerance: float = 1e-4) -> tuple[DataFrame, np.ndarray]:
     """(id, y array): leading eigenvectors of the normalised graph after the trivial one, divided by root degree.
 
     ``graph`` is symmetric. Steps use (S + 1) / 2, whose spectrum is not negative; the state is checkpointed once a
-    round, so a lost executor costs a round at most and plans stay short.
+    round, so a lost executor costs a round at most and plans stay short. Rows that one node stands for have equal values in the
+    leading vectors; a node counts as the root of their number, and starts from their sum.
     """
-    graph = graph.persist()
-    degree = graph.groupBy(F.col("src").alias("id")).agg(F.sum("w").alias("d")).persist()
-    edges = (graph.join(degree.select(F.col("id").alias("src"), F.col("d").alias("ds")), "src")
-             .join(degree.select(F.col("id").alias("dst"), F.col("d").alias("dd")), "dst")
+    counted = isinstance(graph, CodedGraph)
+    nodes, graph = graph, (graph.edges() if counted else graph).persist()
+    if counted:
+        ids = nodes.nodes.select(F.col("node").alias("id"), "ids")
+        degree = (graph.join(ids.withColumnRenamed("id", "dst"), "dst").groupBy(F.col("src").alias("id")).agg(F.sum(F.col("w") * F.col("ids")).alias("d"))
+                  .join(ids, "id").persist())
+    else:
+        degree = graph.groupBy(F.col("src").alias("id")).agg(F.sum("w").alias("d")).withColumn("ids", F.lit(1)).persist()
+    edges = (graph.join(degree.select(F.col("id").alias("src"), (F.col("d") / F.col("ids")).alias("ds")), "src")
+             .join(degree.select(F.col("id").alias("dst"), (F.col("d") / F.col("ids")).alias("dd")), "dst")
              .select("src", "dst", (F.col("w") / F.sqrt(F.col("ds") * F.col("dd"))).alias("s")).persist())
     width = n_vectors + 1 + EXTRA_VECTORS
-    y = degree.select("id", F.array(F.sqrt("d"), *[unit_hash("id", 100 + i) - 0.5 for i in range(width - 1)]).alias("y"))
+    draws = [unit_hash("id", 100 + i) - 0.5 for i in range(width - 1)]
+    if counted:
+        y = degree.join(nodes.sums(draws).withColumnRenamed("node", "id"), "id").select("id", F.concat(
+            F.array(F.sqrt(F.col("d") * F.col("ids"))), F.transform("z", lambda v: v / F.sqrt("ids"))).alias("y"))
+    else:
+        y = degree.select("id", F.array(F.sqrt("d"), *draws).alias("y"))
 
     def multiply(y: DataFrame) -> DataFrame:
         sent = edges.join(y.select(F.col("id").alias("dst"), "y"), "dst")
@@ -82,7 +95,7 @@ def embedding(graph: DataFrame, n_vectors: int, rounds: int = 12, tolerance: flo
     else:
         warnings.warn(f"MCFS: {rounds} rounds ended before the embedding was at rest", stacklevel=2)
     edges.unpersist()
-    kept = [F.col("y")[i] / F.sqrt("d") for i in range(1, n_vectors + 1)]
+    kept = [F.col("y")[i] / F.sqrt(F.col("d") * F.col("ids")) for i in range(1, n_vectors + 1)]
     return y.join(degree, "id").select("id", F.array(*kept).alias("y")), 2 * top - 1
 
 
@@ -121,17 +134,21 @@ def least_angle(gram: np.ndarray, cross: np.ndarray, n_nonzero: int) -> np.ndarr
     return beta
 
 
-def mcfs(df: DataFrame, graph: DataFrame, features: list[str], n_features: int, n_clusters: int = 5, id_col: str = "id",
+def mcfs(df: DataFrame, graph: DataFrame | CodedGraph, features: list[str], n_features: int, n_clusters: int = 5, id_col: str = "id",
          rounds: int = 12) -> DataFrame:
     """(feature, score, rank): largest absolute weight over the regressions of the embedding's vectors."""
     vectors, _ = embedding(graph, n_clusters, rounds)
     p, k = len(features), n_clusters
-    rows = df.withColumnRenamed(id_col, "id").join(vectors, "id")
-    columns = [*[F.col(c) for c in features], *[F.col("y")[i] for i in range(k)]]
+    if isinstance(graph, CodedGraph):
+        rows = vectors.withColumnRenamed("id", "node").join(graph.nodes, "node").join(graph.values(features), "rep")
+        columns = [F.col("rows"), *[F.col("x")[i] for i in range(p)], *[F.col("y")[i] for i in range(k)]]
+    else:
+        rows = df.withColumnRenamed(id_col, "id").join(vectors, "id")
+        columns = [F.lit(1.0), *[F.col(c) for c in features], *[F.col("y")[i] for i in range(k)]]
 
     def products(v: np.ndarray) -> dict[str, np.ndarray]:
-        one = np.column_stack([np.ones(len(v)), v])
-        m = one.T @ one
+        one = np.column_stack([np.ones(len(v)), v[:, 1:]])
+        m = one.T @ (one * v[:, :1])
         i, j = np.indices(m.shape)
         return {"i": i.ravel(), "j": j.ravel(), "value": m.ravel()}
 

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from panelcraft.operators import centres as ce, graph as gr, latent as la, laplacian as lp, mixture as mi, quality as ql, segment as sg
 from panelcraft.operators import selection as sl
-from panelcraft.operators.mcfs import embedding, least_angle
+from panelcraft.operators.mcfs import embedding, least_angle, mcfs
 from panelcraft.operators.reduce import gram
 
 
@@ -195,6 +195,24 @@ def test_embedding_spans_leading_eigenvectors(spark):
     assert np.linalg.norm(want - got @ (got.T @ want)) < 1e-3
 
 
+def test_coded_graph_is_the_graph_of_all_rows_with_few_nodes(spark):
+    """Rows that are nobody's neighbour are one node of their pattern; scores and embedding are those of all rows."""
+    rng = np.random.default_rng(9)
+    x = np.column_stack([rng.integers(0, 5, 120), rng.integers(0, 3, 120), rng.integers(0, 4, 120)])
+    x[30:90] = [2, 1, 2]
+    df = spark.createDataFrame([(i, *map(int, r)) for i, r in enumerate(x)], "id long, a int, b int, c int").persist()
+    codes = ["a", "b", "c"]
+    graphs = lp.graphs_by_size(df, codes, [5, 8])
+    for k in (5, 8):
+        full, small = gr.affinity(df, k, codes=codes).persist(), graphs[k]
+        assert small.nodes.agg(F.sum("rows")).first()[0] == 120 and small.nodes.count() < 75 and small.edges().count() < full.count()
+        assert small.links().agg(F.sum("w")).first()[0] == pytest.approx(full.agg(F.sum("w")).first()[0])
+        want = {r["feature"]: r["score"] for r in lp.laplacian_scores(df, full, codes).collect()}
+        assert {r["feature"]: r["score"] for r in lp.laplacian_scores(df, small, codes).collect()} == pytest.approx(want)
+    want, got = ({r["feature"]: r["score"] for r in mcfs(df, g, codes, 2, 2, rounds=3).collect()} for g in (full, small))
+    assert got == pytest.approx(want, rel=1e-3)
+
+
 def test_least_angle_ends_at_least_squares():
     rng = np.random.default_rng(6)
     x = rng.normal(size=(100, 5))
