@@ -104,6 +104,25 @@ def test_silhouettes_against_brute_force(blobs):
     assert small == pytest.approx(brute(np.sqrt(d2)), abs=1e-9)
 
 
+def test_euclidean_silhouette_reads_points_written_once(spark, monkeypatch):
+    written, write = [], ql.write_blocks
+    monkeypatch.setattr(ql, "write_blocks", lambda *a: written.extend(write(*a)) or written)
+    x = np.random.default_rng(3).normal(size=(90, 3)) + 1e4
+    x[60:70] = x[:10]
+    label = [None if i % 30 == 29 else "ab"[i % 2] if i else "c" for i in range(90)]
+    df = spark.createDataFrame([(label[i], *map(float, x[i])) for i in range(90)], "l string, a double, b double, c double")
+    got = ql.silhouette_euclidean(df, ["a", "b", "c"], "l", block_rows=8).first()[0]
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    score, kinds = np.zeros(90), np.array([k or "" for k in label])
+    for i in range(90):
+        if kinds[i] in ("a", "b"):
+            inner = d[i, kinds == kinds[i]].sum() / ((kinds == kinds[i]).sum() - 1)
+            outer = min(d[i, kinds == k].mean() for k in "abc" if k != kinds[i])
+            score[i] = (outer - inner) / max(outer, inner)
+    assert got == pytest.approx(score.mean(), abs=1e-9)
+    assert sum(b.rows for b in written) == len({(k, *r) for k, r in zip(kinds, x.tolist())}) and len(written) > 8
+
+
 def test_equal_labels_have_ari_one(spark):
     df = spark.createDataFrame([(i, i % 2, 1 - i % 2) for i in range(8)], "id long, a int, b int")
     assert ql.adjusted_rand(df, "a", "b").first()[0] == 1.0
@@ -146,8 +165,8 @@ def test_patterns_are_written_once_and_neighbours_are_exact(spark, monkeypatch,
     monkeypatch.setattr(gr, "BLOCK_ROWS", 16)
     monkeypatch.setattr(gr, "ASKERS", 40)
     monkeypatch.setattr(gr, "MEMBERS", 32)
-    written, write = [], gr._write_blocks
-    monkeypatch.setattr(gr, "_write_blocks", lambda *a: written.extend(write(*a)) or written)
+    written, write = [], gr.write_blocks
+    monkeypatch.setattr(gr, "write_blocks", lambda *a: written.extend(write(*a)) or written)
     x = np.random.default_rng(8).normal(size=(200, 12)) + 3.0
     x[150:] = x[:50]
     names = [f"c{i}" for i in range(12)]
