@@ -26,7 +26,7 @@ def _gram(y: DataFrame, width: int) -> np.ndarray:
     row = y.agg(*[F.sum(F.col("y")[i] * F.col("y")[j]).alias(f"g{i}_{j}") for i, j in pairs]).first()
     out = np.zeros((width, width))
     for i, j in pairs:
-        out[i, j] = out[j, i] = row[f"g{i}_{j}"]
+        out[i, j] = out[j, i] = row[f"g{i}_{j}"] or 0.0
     return out
 
 
@@ -43,7 +43,8 @@ def embedding(graph: DataFrame | CodedGraph, n_vectors: int, rounds: int = 12, t
 
     ``graph`` is symmetric. Steps use (S + 1) / 2, whose spectrum is not negative; the state is checkpointed once a
     round, so a lost executor costs a round at most and plans stay short. Rows that one node stands for have equal values in the
-    leading vectors; a node counts as the root of their number, and starts from their sum.
+    leading vectors; a node counts as the root of their number, and starts from their sum. How the rows of a node start apart halves with
+    every step and is kept as its cross products, so the steps are those of all rows.
     """
     counted = isinstance(graph, CodedGraph)
     nodes, graph = graph, (graph.edges() if counted else graph).persist()
@@ -58,9 +59,12 @@ def embedding(graph: DataFrame | CodedGraph, n_vectors: int, rounds: int = 12, t
              .select("src", "dst", (F.col("w") / F.sqrt(F.col("ds") * F.col("dd"))).alias("s")).persist())
     width = n_vectors + 1 + EXTRA_VECTORS
     draws = [unit_hash("id", 100 + i) - 0.5 for i in range(width - 1)]
+    apart = np.zeros((width, width))
     if counted:
         y = degree.join(nodes.sums(draws).withColumnRenamed("node", "id"), "id").select("id", F.concat(
-            F.array(F.sqrt(F.col("d") * F.col("ids"))), F.transform("z", lambda v: v / F.sqrt("ids"))).alias("y"))
+            F.array(F.sqrt(F.col("d") * F.col("ids"))), F.transform("z", lambda v: v / F.sqrt("ids"))).alias("y")).persist()
+        apart[1:, 1:] = (_gram(nodes.others.select(F.array(*draws).alias("y")), width - 1)
+                         - _gram(y.filter(F.col("id")["kind"] == 1), width)[1:, 1:])
     else:
         y = degree.select("id", F.array(F.sqrt("d"), *draws).alias("y"))
 
@@ -70,24 +74,27 @@ def embedding(graph: DataFrame | CodedGraph, n_vectors: int, rounds: int = 12, t
         return got.join(y, "id").select("id", F.zip_with("z", "y", lambda a, b: (a + b) / 2).alias("y"))
 
     def orthonormal(y: DataFrame) -> DataFrame:
-        values, vectors = np.linalg.eigh(_gram(y, width))
+        nonlocal apart
+        values, vectors = np.linalg.eigh(_gram(y, width) + apart)
         values = np.maximum(values, values.max() * 1e-14)
-        return _times(y, vectors / np.sqrt(values))
+        m = vectors / np.sqrt(values)
+        apart = m.T @ apart @ m
+        return _times(y, m)
 
     y = orthonormal(cut_lineage(y))
     last = None
     for _ in range(rounds):
         for _ in range(STEPS_PER_ROUND):
-            y = multiply(y)
+            y, apart = multiply(y), apart / 4
         y = cut_lineage(y)
         y = orthonormal(y)
         both = multiply(y).select("id", F.col("y").alias("z")).join(y, "id")
         row = both.agg(*[F.sum(F.col("y")[i] * F.col("z")[j]).alias(f"t{i}_{j}") for i in range(width) for j in range(width)]).first()
-        t = np.array([[row[f"t{i}_{j}"] for j in range(width)] for i in range(width)])
+        t = np.array([[row[f"t{i}_{j}"] for j in range(width)] for i in range(width)]) + apart / 2
         values, vectors = np.linalg.eigh((t + t.T) / 2)
         order = np.argsort(-values)
         values, vectors = values[order], vectors[:, order]
-        y = _times(y, vectors)
+        y, apart = _times(y, vectors), vectors.T @ apart @ vectors
         top = values[:n_vectors + 1]
         if last is not None and np.abs(top - last).max() < tolerance:
             break

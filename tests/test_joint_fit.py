@@ -175,3 +175,24 @@ def test_equal_rows_are_counted_once(spark, monkeypatch):
         assert (merged[name].label(x[:, [["a", "b", "n"].index(c) for c in merged[name].columns]].astype(float))
                 == plain[name].label(x[:, [["a", "b", "n"].index(c) for c in plain[name].columns]].astype(float))).all()
         assert merged[name].n == plain[name].n == 4000
+
+
+def test_searches_that_ask_alike_are_answered_once(monkeypatch):
+    """The draws of runs that differ in k alone are taken of the rows once."""
+    asked, draw = [], se.CentreSearch._sum_draw
+    monkeypatch.setattr(se.CentreSearch, "_sum_draw", lambda self, v, w, h: asked.append(self.phase) or draw(self, v, w, h))
+    rng = np.random.default_rng(5)
+    v, h = rng.normal(size=(500, 3)), rng.integers(-2 ** 60, 2 ** 60, 500)
+
+    def run(ks):
+        both = joint.Together({f"k{k}": se.CentreSearch(["a", "b", "c"], (), 0.9, seeds=[42], k=k, any_balance=True) for k in ks})
+        while not both.done:
+            both.update(both.expect(v, np.ones(500), h))
+        return both.searches
+
+    alone = run([3]) | run([4])
+    n, asked[:] = len(asked), []
+    together = run([3, 4])
+    assert len(asked) == n // 2
+    for name in alone:
+        assert (alone[name].label(v) == together[name].label(v)).all() and alone[name].cost == together[name].cost
